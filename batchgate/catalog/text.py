@@ -48,12 +48,12 @@ def clean_strings(spark, sf):
 
 @query(
     "q_list_length",
-    _PARTS + "select p_partkey, case when p_size > 10 then len(string_split(replace(crew, ',', ', '), ', ')) end as n_items from p",
+    _PARTS + "select p_partkey, case when p_size > 10 then cast(len(string_split(replace(crew, ',', ', '), ', ')) as varchar) end as n_items from p",
 )
 def list_length(spark, sf):
     items = text.list_length(text.clean_list_text(F.col("crew")))
     return _parts(spark, sf).select(
-        "p_partkey", text.null_unless(items, F.col("p_size") > 10).cast("bigint").alias("n_items")
+        "p_partkey", text.null_unless(items, F.col("p_size") > 10).cast("string").alias("n_items")
     )
 
 
@@ -154,8 +154,8 @@ def _mixed(spark, sf):
     _MIXED
     + """select o_orderkey, case when o_orderstatus <> 'P' then d end as "dateSample", case when o_orderstatus <> 'F' then t end as "dateTimeSample",
   case when o_orderstatus = 'O' then o_totalprice end as "fishWeight",
-  cast(left(o_orderpriority, 1) as integer) as flag, case when o_orderstatus = 'P' then null else note end as replicate
-from m""".replace("case when o_orderstatus = 'P' then null else note end", "note"),
+  cast(left(o_orderpriority, 1) as integer) as flag, note as replicate
+from m""",
 )
 def coerce_types(spark, sf):
     status = F.col("o_orderstatus")
@@ -187,10 +187,8 @@ def null_normalise(spark, sf):
 @query(
     "q_stringify",
     """select cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber,
-  cast(cast(l_quantity as bigint) as varchar) as l_quantity, cast(l_discount as varchar) as l_discount from
-  (select l_orderkey, l_linenumber, l_quantity, l_discount from lineitem where l_discount > 0 or l_quantity > 0)""".replace(
-        "cast(l_discount as varchar)", "case when l_discount = 0 then '0' else cast(l_discount as varchar) end"
-    ),
+  cast(cast(l_quantity as bigint) as varchar) as l_quantity,
+  case when l_discount = 0 then '0' else cast(l_discount as varchar) end as l_discount from lineitem""",
 )
 def stringify_query(spark, sf):
     return stringify(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount"))
