@@ -13,6 +13,8 @@ TABLE_NULLS = ("", "NA")
 
 # Java's \s is ASCII only; \p{Z} adds the Unicode separators (no-break space and friends).
 _WS = r"[\s\p{Z}]"
+# The same characters one by one, for the cheaper character-wise functions.
+_WS_CHARS = "\t\n\v\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def null_if(c: Column, nulls: Iterable[str] = TABLE_NULLS) -> Column:
@@ -22,7 +24,7 @@ def null_if(c: Column, nulls: Iterable[str] = TABLE_NULLS) -> Column:
 
 def strip_whitespace(c: Column) -> Column:
     """Remove all whitespace."""
-    return F.regexp_replace(c, _WS, "")
+    return F.translate(c, _WS_CHARS, "")
 
 
 def clean_list_text(c: Column) -> Column:

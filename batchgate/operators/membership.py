@@ -29,7 +29,8 @@ class KeyRule:
     """One membership rule.
 
     ``history`` names, per history table, the columns that pair with ``batch``.  ``unseen`` rules
-    flag keys that history lacks, the others keys that it holds.
+    flag keys that history lacks, the others keys that it holds.  ``skip_nulls`` leaves out batch rows
+    with a null key, ``required`` those where that one column is null.
     """
 
     rule: Rule
@@ -37,9 +38,17 @@ class KeyRule:
     history: Mapping[str, tuple[str, ...]]
     unseen: bool = True
     skip_nulls: bool = False
+    required: str | None = None
     entity: str | None = None
     column: str | None = None
 
+    @property
+    def needed(self) -> tuple[str, ...]:
+        """Batch columns that must be present for the rule to apply to a row."""
+        if self.skip_nulls:
+            return self.batch
+        return (self.required,) if self.required else ()
+
 
 def null_safe_on(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     """Equality that treats null as a value.  Spark plans it as an ordinary equi-join."""
@@ -60,9 +69,13 @@ def long_keys(
     columns: Mapping[int, Sequence[str]],
     arity: int,
     carry: Mapping[int, Mapping[str, Column]] | None = None,
-    skip_nulls: Sequence[int] = (),
+    needed: Mapping[int, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Rows ``(rule_no, k0.., carried columns)``: one per input row and rule, in one pass."""
+    """Rows ``(rule_no, k0.., carried columns)``: one per input row and rule, in one pass.
+
+    ``needed`` columns that are null leave the row out for that rule.
+    """
+    needed = {no: names for no, names in (needed or {}).items() if names}
     structs = []
     for no, names in columns.items():
         keys = [key_text(df, n) for n in names]
@@ -72,13 +85,13 @@ def long_keys(
             *[k.alias(f"k{i}") for i, k in enumerate(padded)],
             *[c.cast("string").alias(a) for a, c in (carry or {}).get(no, {}).items()],
         )
-        if no in skip_nulls:
-            s = F.when(reduce(lambda a, b: a & b, [k.isNotNull() for k in keys]), s)
+        if no in needed:
+            s = F.when(reduce(lambda a, b: a & b, [F.col(f"`{n}`").isNotNull() for n in needed[no]]), s)
         structs.append(s)
     if len(structs) == 1:
         return df.select(structs[0].alias("x")).filter("x is not null").select("x.*")
     rows = F.array(*structs)
-    if skip_nulls:
+    if needed:
         rows = F.filter(rows, lambda s: s.isNotNull())
     return df.select(F.explode(rows).alias("x")).select("x.*")
 
@@ -103,14 +116,16 @@ def check_keys(
         }
         for no, r in enumerate(rules)
     }
-    skip = [no for no, r in enumerate(rules) if r.skip_nulls]
-    asked = long_keys(batch, {no: r.batch for no, r in enumerate(rules)}, arity, carried, skip).distinct()
+    needed = {no: r.needed for no, r in enumerate(rules)}
+    asked = long_keys(batch, {no: r.batch for no, r in enumerate(rules)}, arity, carried, needed).distinct()
 
     sources = []
     for name, table in history.items():
         columns = {no: r.history[name] for no, r in enumerate(rules) if name in r.history}
+        # Nobody asks for a null where the batch must have a value, so such history rows stay behind.
+        present = {no: [h for h, b in zip(c, rules[no].batch, strict=True) if b in needed[no]] for no, c in columns.items()}
         if columns:
-            sources.append(long_keys(table, columns, arity))
+            sources.append(long_keys(table, columns, arity, needed=present))
     known = reduce(DataFrame.unionByName, sources)
     seen = seen_keys(asked, known, keys)
 
@@ -208,23 +223,15 @@ def check_precedent(
     Only the mark must be present; a null in the group is a value like any other.
     """
     rule = rule or Rule("no_precedent_" + recaptured)
-    recaptures = batch.filter(F.col(recaptured).isNotNull())
     key_rule = KeyRule(
         rule,
         (*group, recaptured),
         {"history": (*group, applied), "batch": (*group, applied)},
+        required=recaptured,
         entity=entity,
         column=recaptured,
     )
-    return check_keys(
-        recaptures,
-        {
-            "history": history.filter(F.col(applied).isNotNull()),
-            "batch": batch.filter(F.col(applied).isNotNull()),
-        },
-        [key_rule],
-        entry_file,
-    )
+    return check_keys(batch, {"history": history, "batch": batch}, [key_rule], entry_file)
 
 
 def check_vocab(

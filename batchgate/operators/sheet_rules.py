@@ -135,12 +135,17 @@ def unknown_columns_finding(known: Sequence[str], rule: Rule) -> Finding:
     return Finding(rule, F.size(extra) > 0, "columns", F.array_join(extra, ", "))
 
 
-def check_sheets(headers: DataFrame, rules: Mapping[str, Rule], known_columns: Sequence[str]) -> list[DataFrame]:
+def check_sheets(
+    headers: DataFrame,
+    rules: Mapping[str, Rule],
+    known_columns: Sequence[str],
+    optional_keys: Sequence[str] = OPTIONAL_KEYS,
+) -> list[DataFrame]:
     """All sheet-level rules; the input is one row per sheet."""
     findings = [*sheet_findings(rules), unknown_columns_finding(known_columns, rules["unknown_column"])]
     return [
         header_blank_keys(headers, rules["header_blank_key"]),
-        required_values(headers, rules["header_required"]),
+        required_values(headers, rules["header_required"], optional=optional_keys),
         require_columns(headers, MEASURES, rules["measure_columns"]),
         require_columns(headers, TAG_COLUMNS, rules["tag_columns"], only_regular=True),
         row_violations(headers, findings, entity=None, entry_file=F.col("entry_file")),
