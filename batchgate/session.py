@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on; all may be set on a running session.
@@ -22,10 +24,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_root(spark: SparkSession, fallback: str) -> str:
-    """Shared folder for staged tables: the one the cluster names, else the caller's."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (named or fallback).rstrip("/")
+def scratch_root(spark: SparkSession, root: str) -> str:
+    """Shared folder for the staged tables of the accumulators at ``root``.
+
+    It lies in the folder the cluster names, apart from that of other accumulators; where none is
+    named, next to the accumulators themselves.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        return f"{root.rstrip('/')}/_staging"
+    return f"{named.rstrip('/')}/batchgate-{hashlib.sha256(root.encode()).hexdigest()[:16]}"
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

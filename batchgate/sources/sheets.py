@@ -69,7 +69,12 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ``spark.sql.files.maxPartitionBytes``.  Only files of more than one split need the line counts
     of their earlier splits; the size filter on those is applied to the file listing.
     """
-    raw = spark.read.text(path).select(
+    return number_lines(located(spark.read.text(path)))
+
+
+def located(text: DataFrame) -> DataFrame:
+    """A text scan, batch or stream, with the file and split each line comes from."""
+    return text.select(
         "value",
         F.col("_metadata.file_name").alias("entry_file"),
         F.col("_metadata.file_path").alias("file_path"),
@@ -77,11 +82,10 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_block_length").alias("block_length"),
     )
-    return number_lines(raw)
 
 
 def number_lines(raw: DataFrame) -> DataFrame:
-    """Number the lines of a text scan that carries its file and split metadata."""
+    """Number the lines of a :func:`located` scan."""
     line = F.rtrim(F.col("value"), F.lit("\r"))
     text = raw.withColumn("line", F.when(F.col("block") == 0, F.ltrim(line, F.lit(_BOM))).otherwise(line))
     text = text.filter("line <> ''")

@@ -16,17 +16,15 @@ from batchgate.operators.violations import as_violations
 from batchgate.plans import fish
 from batchgate.plans.admit import LINE_SCHEMA, QUARANTINE, SAMPLES, BatchConfig, BatchResult, run_batch
 from batchgate.sources.accumulators import load_or_init
-from batchgate.sources.sheets import is_sheet, lines_of
+from batchgate.sources.sheets import is_sheet, located, number_lines
 
 
 def sheet_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The folder as a stream of whole sheets (entry_file, content)."""
+    """The folder as a stream of lines that know their file and split; no sheet is ever one value."""
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("entry_file"), F.col("value").alias("content")
-    )
+    return located(reader.text(path))
 
 
 def run_incremental(
@@ -34,24 +32,25 @@ def run_incremental(
     path: str,
     config: BatchConfig,
     checkpoint: str,
+    mode: str = "file",
     max_files: int | None = None,
     prefix: str = "stream",
 ) -> None:
     """Admit everything new in the folder, each file on its own merits, then stop."""
-    config = replace(config, mode="file" if config.mode == "batch" else config.mode, keep_rejected=True)
+    config = replace(config, mode=mode, keep_rejected=True)
 
-    def judge(contents: DataFrame, epoch: int) -> None:
-        session = contents.sparkSession
-        sheets = contents.filter(is_sheet(F.col("entry_file")))
+    def judge(scan: DataFrame, epoch: int) -> None:
+        sheet = is_sheet(F.col("entry_file"))
         others = as_violations(
-            contents.filter(~is_sheet(F.col("entry_file"))),
+            scan.filter(~sheet).select("entry_file").distinct(),
             fish.RULES["unmatched_file"],
             column="entry_file",
             value=F.col("entry_file"),
             entry_file=F.col("entry_file"),
         )
         # The epoch names the batch: a retried epoch overwrites its own folders.
-        run_batch(session, lines_of(sheets), config, f"{prefix}-{epoch:08d}", [others])
+        lines = number_lines(scan.filter(sheet))
+        run_batch(scan.sparkSession, lines, config, f"{prefix}-{epoch:08d}", extra=[others])
 
     query = (
         sheet_stream(spark, path, max_files)
