@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from batchgate.catalog import query
-from batchgate.catalog.tables import ORDER_CUTOFF, orders, split_at
+from batchgate.catalog.tables import ORDER_CUTOFF, orders, split_at, table
 from batchgate.operators import gate as g
 from batchgate.operators import membership as m
 from batchgate.operators.ranges import check_range
@@ -17,10 +17,12 @@ _RULES = (
     Rule("price", 3),
 )
 
-# New customers are forced in three months, new priorities everywhere; a combination needs both.
+# Each customer is a file.  Customers of one segment may bring new things; new priorities are fine
+# everywhere, but a new combination also needs its customer forced.
 _JUDGED = f"""
-with n as (select *, strftime(o_orderdate, '%Y-%m') as entry_file from orders where o_orderdate >= timestamp '{ORDER_CUTOFF}'),
+with n as (select *, 'c' || o_custkey as entry_file from orders where o_orderdate >= timestamp '{ORDER_CUTOFF}'),
 h as (select * from orders where o_orderdate < timestamp '{ORDER_CUTOFF}'),
+forced as (select 'c' || c_custkey as entry_file from customer where c_mktsegment = 'BUILDING'),
 v as (
   select distinct 1 as rule_order, 'new_customer' as rule, cast(o_custkey as varchar) as value, entry_file from n
   where o_custkey not in (select o_custkey from h)
@@ -29,12 +31,13 @@ v as (
   where not exists (select 1 from h where h.o_custkey = n.o_custkey and h.o_orderpriority = n.o_orderpriority)
   union all
   select 3, 'price', cast(o_orderkey as varchar), entry_file from n where o_totalprice >= 495000 or o_totalprice <= 1200),
-judged as (select v.*, rule_order = 3 or entry_file not in ('2001-02', '2001-04', '2001-05') as blocking from v)
+judged as (select v.*, rule_order = 3 or entry_file not in (select entry_file from forced) as blocking from v)
 """
 
 
 def _judged(spark, sf):
-    batch, history = split_at(orders(spark, sf), "o_orderdate", ORDER_CUTOFF)
+    name = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    batch, history = split_at(orders(spark, sf).withColumn("entry_file", name), "o_orderdate", ORDER_CUTOFF)
     found = union_violations(
         spark,
         [
@@ -44,16 +47,16 @@ def _judged(spark, sf):
         ],
     )
     found = found.withColumn("value", F.coalesce("entity", "value"))
-    overrides = spark.createDataFrame(
-        [
-            ("customer", "2001-02", "checked"),
-            ("customer", "2001-04", "checked"),
-            ("customer", "2001-05", "checked"),
-            ("priority", None, "new priorities are fine everywhere"),
-        ],
-        g.OVERRIDE_SCHEMA,
+    customers = table(spark, sf, "customer")
+    per_file = customers.filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.lit("customer").alias("rule"),
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("entry_file"),
+        F.lit("checked").alias("reason"),
+    )
+    everywhere = spark.range(1).select(
+        F.lit("priority").alias("rule"), F.lit(None).cast("string").alias("entry_file"), F.lit("fine").alias("reason")
     )
-    return batch, g.apply_overrides(found, overrides)
+    return batch, g.apply_overrides(found, per_file.unionByName(everywhere))
 
 
 @query("q_overrides", _JUDGED + "select rule, value, entry_file, blocking from judged")

@@ -32,7 +32,8 @@ linked as (select r.fish_id, r.tag, r.tag_type, r.species, r.lake, g.tag_type as
 
 
 def _linked(spark, sf):
-    return k.link_recaptures(event_recaptures(spark, sf), k.tag_registry(event_applies(spark, sf)))
+    recaptures = event_recaptures(spark, sf)
+    return k.link_recaptures(recaptures, k.only_asked(k.tag_registry(event_applies(spark, sf)), recaptures))
 
 
 @query(
@@ -127,9 +128,10 @@ _GROWTH = (
 
 def _grown(spark, sf):
     first = F.col("recap_lake") == "L0"
+    recaptures = event_recaptures(spark, sf)
     return k.growth_expectation(
-        event_recaptures(spark, sf),
-        k.latest_apply(event_applies(spark, sf)),
+        recaptures,
+        k.only_asked(k.latest_apply(event_applies(spark, sf)), recaptures),
         linf=F.when(first, 376.909).otherwise(550.0),
         k=F.when(first, 0.32).otherwise(0.19),
         t0=F.when(first, -0.599).otherwise(-0.024),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from batchgate.catalog import query
 from batchgate.catalog.tables import ORDER_CUTOFF, lineitem, orders, split_at, table
 from batchgate.operators import membership as m
+from batchgate.operators.violations import Rule
 
 _ORDERS = f"""
 with n as (select *, strftime(o_orderdate, '%Y-%m') as entry_file from orders where o_orderdate >= timestamp '{ORDER_CUTOFF}'),
@@ -147,3 +148,39 @@ def dup_history(spark, sf):
 def dup_internal(spark, sf):
     out = m.check_duplicate_keys(lineitem(spark, sf), ["l_orderkey", "l_linenumber"])
     return out.select("value", "entry_file")
+
+
+@query(
+    "q_key_rules",
+    _LINES
+    + """, b as (select * from n where l_returnflag = 'R')
+select distinct 'new_part' as rule, null as entity, cast(l_partkey as varchar) as value, entry_file from n
+where not exists (select 1 from h where h.l_partkey = n.l_partkey)
+union all
+select distinct 'repeat_line', null, l_orderkey || '_' || l_linenumber, entry_file from n
+where exists (select 1 from h where h.l_orderkey = n.l_orderkey and h.l_linenumber = n.l_linenumber)
+union all
+select distinct 'new_part_supplier', null, l_partkey || '_' || l_suppkey, entry_file from n
+where not exists (select 1 from h where h.l_partkey = n.l_partkey and h.l_suppkey = n.l_suppkey)
+union all
+select distinct 'returned_before', cast(l_orderkey as varchar), cast(l_partkey as varchar), entry_file from b
+where exists (select 1 from h where h.l_partkey = b.l_partkey and h.l_returnflag = 'R')""",
+)
+def key_rules(spark, sf):
+    """Four rules of both kinds, one of them on a nullable key: history is read once for all."""
+    returned = F.when(F.col("l_returnflag") == "R", F.col("l_partkey"))
+    batch, history = split_at(
+        lineitem(spark, sf).withColumn("returned_part", returned), "l_shipdate", ORDER_CUTOFF
+    )
+
+    def rule(name, *columns, **more):
+        return m.KeyRule(Rule(name), columns, {"history": columns}, **more)
+
+    rules = [
+        rule("new_part", "l_partkey"),
+        rule("repeat_line", "l_orderkey", "l_linenumber", unseen=False),
+        rule("new_part_supplier", "l_partkey", "l_suppkey"),
+        rule("returned_before", "returned_part", unseen=False, skip_nulls=True, entity="l_orderkey"),
+    ]
+    found = m.check_keys(batch, {"history": history}, rules)
+    return found.select("rule", "entity", "value", "entry_file")

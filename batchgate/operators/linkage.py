@@ -31,10 +31,15 @@ def drop_placeholders(df: DataFrame, column: str, placeholders: tuple[str, ...]
     return df.filter(~F.col(column).isin(*placeholders)) if placeholders else df
 
 
-def only_asked(applies: DataFrame, recaptures: DataFrame, apply_tag: str, recapture_tag: str) -> DataFrame:
-    """Applies of tags that the batch recaptures.  History shrinks to the batch before it is grouped."""
-    asked = recaptures.select(F.col(recapture_tag).alias("asked_tag")).distinct()
-    return applies.join(asked, applies[apply_tag] == asked["asked_tag"], "left_semi")
+def only_asked(per_tag: DataFrame, recaptures: DataFrame) -> DataFrame:
+    """Rows of a per-tag table (registry, latest applies) whose tag is recaptured.
+
+    Apply it to the grouped table: where the recaptured tags are small enough to broadcast, Catalyst
+    moves the semi join below the grouping and history is filtered as it is scanned; where they are
+    not, history is still combined per tag before it is shuffled.
+    """
+    asked = recaptures.select(F.col("recap_tag").alias("asked_tag")).distinct()
+    return per_tag.join(asked, per_tag["tag"] == asked["asked_tag"], "left_semi")
 
 
 # Earliest apply: by date (missing dates last), then source, then record, then the rest.

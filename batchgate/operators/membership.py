@@ -50,9 +50,13 @@ class KeyRule:
         return (self.required,) if self.required else ()
 
 
+_RULE_NO = "rule_no"
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     """Equality that treats null as a value.  Spark plans it as an ordinary equi-join."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+    tests = [left[c] == right[c] if c == _RULE_NO else left[c].eqNullSafe(right[c]) for c in columns]
+    return reduce(lambda a, b: a & b, tests)
 
 
 def key_text(df: DataFrame, column: str) -> Column:
@@ -81,7 +85,7 @@ def long_keys(
         keys = [key_text(df, n) for n in names]
         padded = keys + [F.lit(None).cast("string")] * (arity - len(keys))
         s = F.struct(
-            F.lit(no).alias("rule_no"),
+            F.lit(no).alias(_RULE_NO),
             *[k.alias(f"k{i}") for i, k in enumerate(padded)],
             *[c.cast("string").alias(a) for a, c in (carry or {}).get(no, {}).items()],
         )
@@ -108,7 +112,7 @@ def check_keys(
 ) -> DataFrame:
     """Evaluate all rules with one scan per table.  Returns violations, one per distinct key, entity and file."""
     arity = max(len(r.batch) for r in rules)
-    keys = ["rule_no", *[f"k{i}" for i in range(arity)]]
+    keys = [_RULE_NO, *[f"k{i}" for i in range(arity)]]
     carried = {
         no: {
             "entity": F.col(r.entity) if r.entity else F.lit(None),
@@ -129,16 +133,18 @@ def check_keys(
     known = reduce(DataFrame.unionByName, sources)
     seen = seen_keys(asked, known, keys)
 
-    unseen_rules = [no for no, r in enumerate(rules) if r.unseen]
-    repeat_rules = [no for no, r in enumerate(rules) if not r.unseen]
-    parts = []
-    for numbers, how in ((unseen_rules, "left_anti"), (repeat_rules, "left_semi")):
-        if not numbers:
-            continue
-        mixed = unseen_rules and repeat_rules
-        left = asked.filter(F.col("rule_no").isin(numbers)) if mixed else asked
-        parts.append(left.join(seen, null_safe_on(left, seen, keys), how))
-    flagged = reduce(DataFrame.unionByName, parts)
+    unseen = [no for no, r in enumerate(rules) if r.unseen]
+    if len(unseen) == len(rules):
+        flagged = asked.join(seen, null_safe_on(asked, seen, keys), "left_anti")
+    elif not unseen:
+        flagged = asked.join(seen, null_safe_on(asked, seen, keys), "left_semi")
+    else:
+        # Both kinds of rule: one join that keeps the answer, so that history is still read once.
+        seen = seen.withColumn("hit", F.lit(True))
+        answered = asked.join(seen, null_safe_on(asked, seen, keys), "left")
+        flagged = answered.filter(F.col("hit").isNull() == asked[_RULE_NO].isin(unseen)).select(
+            *[asked[c] for c in asked.columns]
+        )
     return _describe(flagged, rules)
 
 
@@ -153,7 +159,7 @@ def _describe(flagged: DataFrame, rules: Sequence[KeyRule]) -> DataFrame:
             F.lit(r.column or ",".join(r.batch)).alias("column"),
             value.alias("value"),
         )
-        hit = F.col("rule_no") == no
+        hit = F.col(_RULE_NO) == no
         info = F.when(hit, s) if info is None else info.when(hit, s)
     return (
         flagged.select(info.alias("r"), "entity", "entry_file")

@@ -17,15 +17,25 @@ DEVIATIONS = 3.0
 LEVEL = 0.99
 
 
-def group_statistics(history: DataFrame, group: str, length: str, weight: str | None = None) -> DataFrame:
-    """One row per group: moments of positive lengths, and of log weight against log length."""
+def group_statistics(
+    history: DataFrame, group: str, length: str, weight: str | None = None, batch: DataFrame | None = None
+) -> DataFrame:
+    """One row per group: moments of positive lengths, and of log weight against log length.
+
+    With ``batch`` only its groups are kept; where they are few enough to broadcast, Catalyst applies
+    that to the scan of history.
+    """
     ln = F.col(length)
     aggs = measure_moments(F.when(ln > 0, ln), "len_")
     if weight is not None:
         both = (ln > 0) & (F.col(weight) > 0)
         x, y = F.when(both, F.log(ln)), F.when(both, F.log(F.col(weight)))
         aggs += regression_moments(x, y, "reg_")
-    return history.groupBy(F.col(group).alias("stat_group")).agg(*aggs)
+    stats = history.groupBy(F.col(group).alias("stat_group")).agg(*aggs)
+    if batch is None:
+        return stats
+    asked = batch.select(F.col(group).alias("asked_group")).distinct()
+    return stats.join(asked, stats["stat_group"].eqNullSafe(asked["asked_group"]), "left_semi")
 
 
 def regression_table(stats: DataFrame, min_history: int = MIN_HISTORY) -> DataFrame:
@@ -84,7 +94,7 @@ def check_zscore(
     batch: DataFrame, history: DataFrame, group: str, value: str, entity: str, entry_file: str = "entry_file"
 ) -> DataFrame:
     """Values more than three sample deviations from their group's historical mean."""
-    joined = with_statistics(batch, group_statistics(history, group, value), group)
+    joined = with_statistics(batch, group_statistics(history, group, value, batch=batch), group)
     return row_violations(joined, zscore_findings(value), entity=F.col(entity), entry_file=F.col(entry_file))
 
 
@@ -98,7 +108,7 @@ def check_regression_interval(
     entry_file: str = "entry_file",
 ) -> DataFrame:
     """Weights outside the 99 % prediction band of log weight on log length in the group's history."""
-    joined = with_statistics(batch, group_statistics(history, group, length, weight), group)
+    joined = with_statistics(batch, group_statistics(history, group, length, weight, batch), group)
     return row_violations(
         joined, regression_findings(length, weight), entity=F.col(entity), entry_file=F.col(entry_file)
     )

@@ -1,12 +1,14 @@
 """Finding sheets and reading them as numbered lines.
 
 A sheet is text: some key/value lines, one line of column names, then data lines.  Everything
-downstream takes a table of lines ``(entry_file, line_no, line)``, so files, streams and lines that
-Spark derives from other tables share one code path.
+downstream takes lines ``(entry_file, line_no, line)``, so files, streams and lines that Spark
+derives from other tables share one code path.  File names identify sheets.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,11 +33,12 @@ def name_line(name: Column, header_rows: int = HEADER_ROWS) -> Column:
     return F.when(is_trap(name), header_rows - 1).otherwise(header_rows)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Names of all files in a folder.  Only file metadata is read."""
-    return (
-        spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("entry_file"))
-    )
+def list_files(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
+    """Names of all (non-empty) files in a folder.  Only file metadata is read."""
+    reader = spark.read.format("binaryFile")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.load(path).select(F.col("_metadata.file_name").alias("entry_file"))
 
 
 def discover_sheets(files: DataFrame, column: str = "entry_file") -> DataFrame:
@@ -61,15 +64,27 @@ def unmatched_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
     return _not_ingested(files.filter(~is_sheet(F.col("entry_file"))).select("entry_file"), ingested)
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Numbered lines of all sheets under ``path``; blank lines are left out and not counted.
+@dataclass(frozen=True)
+class SheetLines:
+    """Numbered lines of many sheets.
 
-    Files are read split by split, so a huge sheet is not one task.  Within a split the reading order
-    is the line order; a window over (file, split) numbers the lines, and a split is bounded by
-    ``spark.sql.files.maxPartitionBytes``.  Only files of more than one split need the line counts
-    of their earlier splits; the size filter on those is applied to the file listing.
+    ``lines`` has entry_file, line_no, line; blank lines are left out and not counted.  ``top`` has at
+    least the first ``HEADER_ROWS`` lines of each sheet.  Where ``chunks`` is given, lines also have a
+    ``chunk``, a part of the sheet of bounded size, and ``chunks`` (entry_file, chunk) lists all but
+    the first, 0: joins can then use the chunk as a second key, so a huge sheet is never one group.
     """
-    return number_lines(located(spark.read.text(path)))
+
+    lines: DataFrame
+    top: DataFrame
+    chunks: DataFrame | None = None
+
+
+def read_sheets(spark: SparkSession, path: str | list[str], modified_after: str | None = None) -> SheetLines:
+    """All files under ``path``, or those modified after a time; only those are then listed and read."""
+    reader = spark.read
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return number_lines(located(reader.text(path)))
 
 
 def located(text: DataFrame) -> DataFrame:
@@ -77,35 +92,48 @@ def located(text: DataFrame) -> DataFrame:
     return text.select(
         "value",
         F.col("_metadata.file_name").alias("entry_file"),
-        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_block_length").alias("block_length"),
+        F.col("_metadata.file_block_start").alias("chunk"),
+        F.col("_metadata.file_block_length").alias("chunk_length"),
     )
 
 
-def number_lines(raw: DataFrame) -> DataFrame:
-    """Number the lines of a :func:`located` scan."""
+def number_lines(scan: DataFrame) -> SheetLines:
+    """Number the lines of a :func:`located` scan.
+
+    Files are read split by split, so a huge sheet is not one task.  Within a split the reading order
+    is the line order; a window over (file, split) numbers the lines, and a split is bounded by
+    ``spark.sql.files.maxPartitionBytes``.  Only files of more than one split need the line counts
+    of their earlier splits; the size filter on those is applied to the file listing.
+    """
     line = F.rtrim(F.col("value"), F.lit("\r"))
-    text = raw.withColumn("line", F.when(F.col("block") == 0, F.ltrim(line, F.lit(_BOM))).otherwise(line))
+    text = scan.withColumn("line", F.when(F.col("chunk") == 0, F.ltrim(line, F.lit(_BOM))).otherwise(line))
     text = text.filter("line <> ''")
 
-    splits = Window.partitionBy("file_path", "block")
+    split = Window.partitionBy("entry_file", "chunk")
     numbered = text.select(
-        "entry_file", "file_path", "block", "line", F.monotonically_increasing_id().alias("read_order")
-    ).withColumn("in_split", F.row_number().over(splits.orderBy("read_order")))
+        "entry_file", "chunk", "line", F.monotonically_increasing_id().alias("read_order")
+    ).withColumn("in_chunk", F.row_number().over(split.orderBy("read_order")))
 
-    smallest_split = _smallest_split(raw.sparkSession)
+    smallest_split = _smallest_split(scan.sparkSession)
     counts = (
-        text.filter((F.col("file_size") > smallest_split) & (F.col("block_length") < F.col("file_size")))
-        .groupBy("file_path", "block")
+        text.filter((F.col("file_size") > smallest_split) & (F.col("chunk_length") < F.col("file_size")))
+        .groupBy("entry_file", "chunk")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("file_path", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    return numbered.join(offsets, ["file_path", "block"], "left").select(
-        "entry_file", (F.col("in_split") + F.coalesce("offset", F.lit(0))).alias("line_no"), "line"
-    )
+    earlier = Window.partitionBy("entry_file").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("entry_file", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        line_no = F.col("in_chunk") + F.coalesce("offset", F.lit(0))
+        return rows.join(offsets, ["entry_file", "chunk"], "left").select(
+            "entry_file", "chunk", line_no.alias("line_no"), "line"
+        )
+
+    # The first lines of a sheet are among the first lines of its splits.  This limit is applied
+    # before the shuffle, so the pass over the headers moves only a few lines of each file.
+    top = placed(numbered.filter(F.col("in_chunk") <= HEADER_ROWS)).filter(F.col("line_no") <= HEADER_ROWS)
+    return SheetLines(placed(numbered), top, counts.filter("chunk > 0").select("entry_file", "chunk"))
 
 
 def _smallest_split(spark: SparkSession) -> int:
@@ -115,7 +143,7 @@ def _smallest_split(spark: SparkSession) -> int:
 
 
 def lines_of(contents: DataFrame) -> DataFrame:
-    """Numbered lines of a table ``(entry_file, content)`` of whole sheet texts."""
+    """Numbered lines ``(entry_file, line_no, line)`` of a table ``(entry_file, content)`` of sheet texts."""
     text = F.ltrim(F.col("content"), F.lit(_BOM))
     kept = F.filter(F.split(text, r"\r?\n"), lambda x: x != "")
     return contents.select("entry_file", F.posexplode(kept).alias("pos", "line")).select(

@@ -49,8 +49,8 @@ def run_incremental(
             entry_file=F.col("entry_file"),
         )
         # The epoch names the batch: a retried epoch overwrites its own folders.
-        lines = number_lines(scan.filter(sheet))
-        run_batch(scan.sparkSession, lines, config, f"{prefix}-{epoch:08d}", extra=[others])
+        sheets = number_lines(scan.filter(sheet))
+        run_batch(scan.sparkSession, sheets, config, f"{prefix}-{epoch:08d}", extra=[others])
 
     query = (
         sheet_stream(spark, path, max_files)

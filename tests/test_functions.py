@@ -1,0 +1,183 @@
+"""Column expressions against plain Python."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import re
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from batchgate.functions import dates, growth, keys, stats, text, types
+from batchgate.sources.reference import list_tables, profile_columns, read_reference
+
+FUZZ = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def one(spark, expr, *values):
+    """Value of an expression of columns a, b, .. on one row."""
+    names = "abcdef"[: len(values)]
+    df = spark.createDataFrame([values], ", ".join(f"{n} {_ddl(v)}" for n, v in zip(names, values, strict=True)))
+    return df.select(expr.alias("x")).first()["x"]
+
+
+def _ddl(v):
+    kinds = {str: "string", float: "double", int: "bigint", dt.datetime: "timestamp_ntz", dt.date: "date"}
+    return kinds.get(type(v), "string")
+
+
+@pytest.mark.parametrize(
+    ("expr", "value", "expected"),
+    [
+        (lambda a: text.strip_whitespace(a), " a b\t c ", "abc"),
+        (lambda a: text.clean_list_text(a), "a,b, c", "a, b, c"),
+        (lambda a: text.trim_one(a), "  yes  ", " yes "),
+        (lambda a: text.trim_one(a), " ", ""),
+        (lambda a: text.list_length(a), "a, b, c", 3),
+        (lambda a: text.list_length(a), "a", 1),
+        (lambda a: text.list_length(a), "a, ", 1),
+        (lambda a: text.list_length(a), "", 0),
+        (lambda a: text.list_length(a), None, None),
+        (lambda a: text.normalise_code(a), "MT007", "MT.007"),
+        (lambda a: text.normalise_code(a), "MT.007", "MT.007"),
+        (lambda a: text.normalise_code(a), "7", "MT.007"),
+        (lambda a: text.normalise_code(a), "1234", "MT.1234"),
+        (lambda a: text.normalise_code(a), None, "MT.NA"),
+        (lambda a: text.shape(a), "3D9.1c2-Z", "0A0.0a0-A"),
+        (lambda a: text.collapse_code(a, r"FN[A-Za-z0-9]+", "FN"), "FN12", "FN"),
+        (lambda a: text.collapse_code(a, r"FN[A-Za-z0-9]+", "FN"), "FN", "FN"),
+        (lambda a: text.null_if(a), "NA", None),
+        (lambda a: text.null_if(a), " ", " "),
+        (lambda a: text.map_synonyms(a, {"X": ("x", "xx"), "Y": ("y",)}), "xx", "X"),
+        (lambda a: text.map_synonyms(a, {"X": ("x", "xx"), "Y": ("y",)}), "z", "z"),
+        (lambda a: keys.key_field(a, 2), "a_b_c", "b"),
+        (lambda a: keys.key_field(a, 4), "a_b_c", None),
+        (lambda a: keys.key_date(a), "a_b_20210603_1126", dt.date(2021, 6, 3)),
+        (lambda a: keys.key_date(a), "a_b_20211303_1126", None),
+        (lambda a: keys.key_date(a), "a_b_2021063_1126", None),
+        (lambda a: keys.key_timestamp(a), "a_b_20210314_0230_x", dt.datetime(2021, 3, 14, 2, 30)),
+        (lambda a: keys.key_timestamp(a), "a_b_20210314_2530_x", None),
+        (lambda a: types.to_number(a), "12d", None),
+        (lambda a: types.to_number(a), " 1.5e2 ", 150.0),
+        (lambda a: types.to_number(a), "x", None),
+        (lambda a: types.to_typed(a, "int"), "3", 3),
+        (lambda a: types.to_typed(a, "date"), "2021-02-30", None),
+        (lambda a: dates.bad_timestamp_text(a), "2021-06-03 10:00", True),
+        (lambda a: dates.bad_timestamp_text(a), "2021-06-03 10:00:00", False),
+        (lambda a: dates.bad_timestamp_text(a), "2021-02-30 10:00:00", True),
+        (lambda a: dates.bad_timestamp_text(a), None, False),
+        (lambda a: dates.parse_timestamp(a, ["M/d/yy H:mm"]), "6/3/21 7:30", dt.datetime(2021, 6, 3, 7, 30)),
+        # An hour that does not exist in the session's zone is still a wall-clock time.
+        (lambda a: dates.parse_timestamp(a), "2021-03-14 02:30:00", dt.datetime(2021, 3, 14, 2, 30)),
+        (lambda a: keys.number_text(a), 18.0, "18"),
+        (lambda a: keys.number_text(a), 1.5, "1.5"),
+        (lambda a: keys.number_text(a), -3.0, "-3"),
+        (lambda a: keys.date_text(a), dt.datetime(2021, 3, 14, 2, 30, 5), "20210314"),
+        (lambda a: keys.time_text(a), dt.datetime(2021, 3, 14, 2, 3, 5), "0203"),
+        (lambda a: dates.day_of_year(a), dt.date(2020, 12, 31), 366),
+    ],
+)
+def test_expression(spark, expr, value, expected):
+    assert one(spark, expr(F.col("a")), value) == expected
+
+
+def test_key_keeps_positions(spark):
+    assert one(spark, keys.build_key(F.col("a"), F.col("b"), F.col("c")), "WL", None, 18) == "WL_NA_18"
+
+
+@FUZZ
+@given(st.lists(st.text(alphabet="aZ09_-é ", max_size=8), min_size=1, max_size=20))
+def test_shape_matches_regular_expressions(spark, values):
+    def expected(s):
+        return re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", s)))
+
+    df = spark.createDataFrame([(v,) for v in values], "a string").select(text.shape(F.col("a")))
+    assert [r[0] for r in df.collect()] == [expected(v) for v in values]
+
+
+@pytest.mark.parametrize(
+    ("nu", "expected"),
+    # 99.5 % points of the t distribution, from tables.
+    [(13, 3.0123), (20, 2.8453), (30, 2.7500), (60, 2.6603), (120, 2.6174)],
+)
+def test_t_quantile(spark, nu, expected):
+    assert one(spark, stats.t_quantile(F.col("a"), 0.995), float(nu)) == pytest.approx(expected, abs=1e-4)
+
+
+def test_regression_matches_least_squares(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=50)
+    y = 2 + 3 * x + rng.normal(size=50)
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), strict=True)), "x double, y double")
+    fit = stats.regression_fit()
+    low, high = stats.prediction_bounds(F.lit(0.5), F.col("n"), F.col("mx"), fit)
+    row = df.agg(*stats.regression_moments(F.col("x"), F.col("y"))).select(
+        *[c.alias(n) for n, c in fit.items()], low.alias("low"), high.alias("high")
+    ).first()
+    design = np.column_stack([np.ones(50), x])
+    (a, b), (rss,), *_ = np.linalg.lstsq(design, y, rcond=None)
+    s = math.sqrt(rss / 48)
+    sxx = ((x - x.mean()) ** 2).sum()
+    half = 2.68220 * s * math.sqrt(1 + 1 / 50 + (0.5 - x.mean()) ** 2 / sxx)
+    assert (row["intercept"], row["slope"], row["resid_sd"]) == pytest.approx((a, b, s))
+    assert (row["low"], row["high"]) == pytest.approx((a + b / 2 - half, a + b / 2 + half), rel=1e-4)
+
+
+def test_flat_regression_has_no_bounds(spark):
+    df = spark.createDataFrame([(1.0, float(i)) for i in range(20)], "x double, y double")
+    fit = stats.regression_fit()
+    low, _ = stats.prediction_bounds(F.lit(1.0), F.col("n"), F.col("mx"), fit)
+    assert df.agg(*stats.regression_moments(F.col("x"), F.col("y"))).select(low).first()[0] is None
+
+
+@pytest.mark.parametrize("start", [100.0, 376.909, 400.0])
+def test_growth(spark, start):
+    linf, k, t0 = 376.909, 0.32, -0.599
+    got = one(spark, growth.expected_length(F.col("a"), F.col("b"), F.lit(linf), F.lit(k), F.lit(t0)), start, 365.0)
+    if start > linf:
+        assert got is None
+    elif start == linf:
+        assert got == linf
+    else:
+        age = math.log(1 - start / linf) / -k + t0
+        assert got == pytest.approx(linf * (1 - math.exp(-k * (age + 1 - t0))))
+
+
+def test_reference_table(spark):
+    df = spark.createDataFrame(
+        [("WL", "3.5", "NA", "2021-06-03"), ("EL", "x", "", "soon"), (None, "1", "ok", None)],
+        "lakeID string, fishLength string, note string, dateSample string",
+    )
+    rows = read_reference(df, lakeID=["WL", "EL"]).orderBy("lakeID").collect()
+    assert [tuple(r) for r in rows] == [("EL", None, None, None), ("WL", 3.5, None, dt.date(2021, 6, 3))]
+
+
+def test_reference_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("WL", "1"), ("EL", "2")], "lakeID string, effort string").write.parquet(path)
+    plan = read_reference(spark.read.parquet(path), lakeID=["WL"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(lakeID, [WL])" in plan or "EqualTo(lakeID,WL)" in plan
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([("WL", "a"), ("WL", None), ("EL", "a")], "lakeID string, depthClass string")
+    got = {tuple(r) for r in profile_columns(df).collect()}
+    assert got == {("lakeID", "string", "WL", 2), ("lakeID", "string", "EL", 1), ("depthClass", "string", "a", 2)}
+
+
+def test_list_tables(spark):
+    spark.range(1).createOrReplaceTempView("batchgate_listed")
+    assert "batchgate_listed" in list_tables(spark)
+
+
+def test_stringify(spark):
+    df = spark.createDataFrame([(1, 2.0, 2.5, None)], "a int, b double, c double, d date")
+    assert tuple(types.stringify(df).first()) == ("1", "2", "2.5", None)
+
+
+def test_number_columns_are_complete():
+    assert len(types.NUMERIC_COLUMNS) == len(set(types.NUMERIC_COLUMNS)) == 107

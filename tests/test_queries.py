@@ -1,0 +1,88 @@
+"""Registered queries against their SQL, and what their plans must not contain."""
+
+from __future__ import annotations
+
+import glob
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+
+    con = duckdb.connect()
+    for path in glob.glob(SF_DIR + "/*.parquet"):
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    return con
+
+
+def _value(v):
+    if v is None:
+        return "-"
+    return f"{v:.6f}" if isinstance(v, float) else str(v)
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_value(r[i]) for i in order) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, duck, name):
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
+        assert bad not in plan
+    got = _rows(df.columns, df.collect())
+    if name in SQL:
+        result = duck.execute(SQL[name])
+        names = [d[0] for d in result.description]
+        assert sorted(names) == sorted(df.columns)
+        assert got == _rows(names, result.fetchall())
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0
+
+
+def test_every_sql_has_a_query():
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize(
+    ("name", "table", "columns"),
+    [
+        ("q_range", "lineitem", {"l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"}),
+        ("q_new_combos", "orders", {"o_custkey", "o_orderpriority", "o_orderdate"}),
+        ("q_zscore_outliers", "events", {"ts", "event_id", "event_type", "value"}),
+    ],
+)
+def test_scans_read_only_what_they_need(spark, name, table, columns):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert scans
+    for scan in scans:
+        assert {c.split(":")[0] for c in scan.split(",")} <= columns
+
+
+def test_history_is_filtered_where_it_is_scanned(spark):
+    """With a small batch, the keys it asks for reach the scan of history, below the grouping."""
+    plan = QUERIES["q_new_combos"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    semi = next(i for i, x in enumerate(plan.splitlines()) if "LeftSemi" in x)
+    assert any("Aggregate" in x for x in plan.splitlines()[:semi])
+
+
+def test_history_is_read_once_for_rules_of_both_kinds(spark):
+    plan = QUERIES["q_key_rules"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"l_shipdate\S* < ", plan)) == 1
