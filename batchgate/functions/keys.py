@@ -33,22 +33,13 @@ def time_text(ts: Column) -> Column:
     return F.concat(F.substring(text, 12, 2), F.substring(text, 15, 2))
 
 
-def _iso_date(digits: Column) -> Column:
-    return F.concat_ws(
-        "-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
-    )
-
-
 def key_date(key: Column, position: int = 3) -> Column:
     """Date held in a key field, null when it is none."""
-    field = key_field(key, position)
-    return F.when(F.length(field) == 8, _iso_date(field).try_cast("date"))
+    digits = F.regexp_extract(key, rf"^(?:[^_]*_){{{position - 1}}}([0-9]{{8}})(?:_|\z)", 1)
+    return F.regexp_replace(digits, r"^(....)(..)(..)$", "$1-$2-$3").try_cast("date")
 
 
 def key_timestamp(key: Column, position: int = 3) -> Column:
     """Wall-clock minute held in two neighbouring key fields."""
-    day, clock = key_field(key, position), key_field(key, position + 1)
-    text = F.concat(
-        _iso_date(day), F.lit(" "), F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2), F.lit(":00")
-    )
-    return F.when((F.length(day) == 8) & (F.length(clock) == 4), text.try_cast("timestamp_ntz"))
+    digits = F.regexp_extract(key, rf"^(?:[^_]*_){{{position - 1}}}([0-9]{{8}}_[0-9]{{4}})(?:_|\z)", 1)
+    return F.regexp_replace(digits, r"^(....)(..)(..)_(..)(..)$", "$1-$2-$3 $4:$5:00").try_cast("timestamp_ntz")
