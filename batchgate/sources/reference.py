@@ -26,6 +26,14 @@ def read_reference(
     return normalise_nulls(coerce_known_types(source))
 
 
+def reference_table(
+    spark: SparkSession, name: str, root: str | None = None, lakeID: Sequence[str] | None = None, **filters
+) -> DataFrame:
+    """:func:`read_reference` of a table by name: a Parquet folder under ``root``, or a catalog table."""
+    source = spark.read.parquet(f"{root.rstrip('/')}/{name}") if root else spark.table(name)
+    return read_reference(source, lakeID=lakeID, **filters)
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     """Names of the tables in the catalog."""
     return sorted(t.name for t in spark.catalog.listTables(database))

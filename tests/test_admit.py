@@ -368,3 +368,17 @@ def test_stream_and_replay(spark, config, tmp_path):
     replayed = replay_quarantine(spark, forced, "replay1")
     assert [r["entry_file"] for r in replayed.records.collect()] == ["b_2021-06-03_1201.csv"]
     assert replay_quarantine(spark, forced, "replay2").admitted.count() == 0
+
+
+def test_command_line(spark, tables, tmp_path, capsys):
+    from batchgate import cli
+
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / "reference" / name))
+    folder = tmp_path / "sheets"
+    _write(folder, {NAME: sheet([fish_row(1, weight=200)])})
+    common = [str(folder), "--reference", str(tmp_path / "reference"), "--root", str(tmp_path / "season")]
+    assert cli.main([*common, "--batch", "b1"]) == 1
+    assert "too_heavy" in capsys.readouterr().out
+    assert cli.main([*common, "--batch", "b2", "--force", "fishWeight"]) == 0
+    assert "records of the season: 1" in capsys.readouterr().out
