@@ -10,7 +10,7 @@ from batchgate.plans import fish
 from batchgate.plans.admit import BatchConfig, admit_folder, run_batch
 from batchgate.sources.accumulators import load_or_init
 from batchgate.streaming.incremental import replay_quarantine, run_incremental
-from sheetkit import HEADER, NAME, TRAP_COLUMNS, TRAP_NAME, COLUMNS, fish_row, lines, reference, rules_found, sheet
+from sheetkit import COLUMNS, NAME, TRAP_NAME, fish_row, lines, reference, rules_found, sheet
 
 TRAP_HEADER = {
     "gear": "MT",
@@ -196,17 +196,15 @@ def test_force_key_releases(spark, tables, tmp_path):
     assert result.records.count() == 1
 
 
-@pytest.mark.parametrize(
-    ("forced", "released"),
-    [((), False), (("tagRecapLake",), False), (("tagRecapSpecies",), False), (("tagRecapLake", "tagRecapSpecies"), True)],
-)
-def test_both_flags_needed(spark, tables, tmp_path, forced, released):
-    bad = sheet([fish_row(1, floyRecapture="F1")])
-    overrides = spark.createDataFrame([(f, NAME, "seen") for f in forced], OVERRIDE_SCHEMA)
-    result = run_batch(
-        spark, lines(spark, {NAME: bad}), BatchConfig(tables, str(tmp_path), overrides=overrides), "b1"
-    )
-    assert (result.records.count() == 1) is released
+def test_both_flags_needed(spark, tables, tmp_path):
+    """A tag wrong in species and lake needs both keys, for the file they are given for."""
+    forced = {0: (), 1: ("tagRecapLake",), 2: ("tagRecapSpecies",), 3: ("tagRecapLake", "tagRecapSpecies")}
+    sheets = {f"f{n}_2021-06-03_1126.csv": sheet([fish_row(1, floyRecapture="F1")], other(n)) for n in forced}
+    given = [(key, f"f{n}_2021-06-03_1126.csv", "seen") for n, keys in forced.items() for key in keys]
+    overrides = spark.createDataFrame(given, OVERRIDE_SCHEMA)
+    config = BatchConfig(tables, str(tmp_path), mode="file", overrides=overrides)
+    result = run_batch(spark, lines(spark, sheets), config, "b1")
+    assert [r["entry_file"] for r in result.records.collect()] == ["f3_2021-06-03_1126.csv"]
 
 
 def test_unknown_force_key():
