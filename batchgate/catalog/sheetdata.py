@@ -6,7 +6,7 @@ expensive ones carry a trap column, low-priority ones lack a sample group, and s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate.catalog.tables import table
@@ -41,7 +41,7 @@ def sheet_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def header_lines(orders: DataFrame) -> DataFrame:
+def _header_lines() -> list[Column]:
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     at = F.concat("day", F.lit(" 00:00:00"))
     text = {
@@ -70,12 +70,10 @@ def header_lines(orders: DataFrame) -> DataFrame:
         no = F.when(F.col("is_trap") & (n > 3), n - 1).otherwise(n).cast("bigint")
         line = F.struct(no.alias("line_no"), F.concat(shown, F.lit(","), value).alias("line"))
         lines.append(F.when(~F.col("is_trap"), line) if key == "siteName" else line)
-    return orders.select("entry_file", F.explode(F.array(*lines)).alias("x")).filter("x is not null").select(
-        "entry_file", "x.*"
-    )
+    return lines
 
 
-def name_lines(orders: DataFrame) -> DataFrame:
+def _name_line() -> Column:
     partial = F.col("o_orderstatus") == "P"
     tags = F.when(partial, "pitApply,pitRecapture,floyRecapture").otherwise(
         "pitApply,pitRecapture,floyApply,floyRecapture"
@@ -88,8 +86,7 @@ def name_lines(orders: DataFrame) -> DataFrame:
         F.lit(","),
     )
     trap = F.lit("trapNumber,fishNum,species,fishLength,fishWeight,spineSampled")
-    return orders.select(
-        "entry_file",
+    return F.struct(
         F.when(F.col("is_trap"), 17).otherwise(18).cast("bigint").alias("line_no"),
         F.when(F.col("is_trap"), trap).otherwise(regular).alias("line"),
     )
@@ -117,9 +114,13 @@ def data_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def top_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header and name lines only: all that a sheet's own row is made of."""
-    o = sheet_orders(spark, sf_dir)
-    return header_lines(o).unionByName(name_lines(o))
+    """Header and name lines only: all that a sheet's own row is made of.
+
+    Orders are spread by file before they are written out as lines, so parsing need not shuffle those.
+    """
+    lines = F.array(*_header_lines(), _name_line())
+    orders = sheet_orders(spark, sf_dir).repartition("entry_file")
+    return orders.select("entry_file", F.explode(lines).alias("x")).filter("x is not null").select("entry_file", "x.*")
 
 
 def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

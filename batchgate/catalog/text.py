@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from batchgate.catalog import query
-from batchgate.catalog.tables import ORDER_CUTOFF, month, orders, table
+from batchgate.catalog.tables import ORDER_CUTOFF, orders, table
 from batchgate.functions import dates, text
 from batchgate.functions.types import coerce_known_types, normalise_nulls, stringify
 from batchgate.operators import derive

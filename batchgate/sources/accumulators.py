@@ -27,8 +27,13 @@ def load_or_init(spark: SparkSession, root: str, name: str, schema: T.StructType
         raise
 
 
-def append_batch(df: DataFrame, root: str, name: str, batch_id: str, schema: T.StructType) -> None:
-    """Write the batch's rows, projected to the table's schema; columns the batch lacks become null."""
+def append_batch(
+    df: DataFrame, root: str, name: str, batch_id: str, schema: T.StructType, compact: bool = False
+) -> None:
+    """Write the batch's rows, projected to the table's schema; columns the batch lacks become null.
+
+    ``compact`` evens out the files first, for results that are small but spread over many tasks.
+    """
     have = set(df.columns)
     out = df.select(
         *[
@@ -36,4 +41,6 @@ def append_batch(df: DataFrame, root: str, name: str, batch_id: str, schema: T.S
             for f in schema.fields
         ]
     )
+    if compact:
+        out = out.hint("rebalance")
     out.write.mode("overwrite").parquet(f"{table_path(root, name)}/batch_id={batch_id}")

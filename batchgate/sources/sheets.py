@@ -145,7 +145,7 @@ def _smallest_split(spark: SparkSession) -> int:
 def lines_of(contents: DataFrame) -> DataFrame:
     """Numbered lines ``(entry_file, line_no, line)`` of a table ``(entry_file, content)`` of sheet texts."""
     text = F.ltrim(F.col("content"), F.lit(_BOM))
-    kept = F.filter(F.split(text, r"\r?\n"), lambda x: x != "")
+    kept = F.filter(F.split(text, r"\r\n|\r|\n"), lambda x: x != "")
     return contents.select("entry_file", F.posexplode(kept).alias("pos", "line")).select(
         "entry_file", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line"
     )
