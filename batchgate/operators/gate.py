@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from batchgate.operators.joins import splittable_on
+
 # Overrides: a force key (or rule name), the file it is meant for (null: the whole batch), and why.
 OVERRIDE_SCHEMA = T.StructType(
     [
@@ -35,7 +37,7 @@ def apply_overrides(
         # The keys forced for the whole batch: one row, of at most as many texts as there are rules.
         everywhere = per_file.filter("override_file is null").select("file_keys").scalar()
         per_file = per_file.filter("override_file is not null")
-        out = violations.join(per_file, violations["entry_file"] == per_file["override_file"], "left")
+        out = violations.join(per_file, splittable_on([violations["entry_file"]], [per_file["override_file"]]), "left")
         nothing = F.array().cast("array<string>")
         allowed = F.concat(forced, F.coalesce("file_keys", nothing), F.coalesce(everywhere, nothing))
     covered = F.size(F.array_except("force_keys", allowed)) == 0
@@ -75,8 +77,8 @@ def gate(files: DataFrame, judged: DataFrame, mode: str = "batch") -> DataFrame:
 
 def quarantine(rows: DataFrame, judged: DataFrame, entry_file: str = "entry_file") -> DataFrame:
     """Rows of files that nothing blocks."""
-    blocked = blocked_files(judged)
-    return rows.join(blocked, rows[entry_file] == blocked["entry_file"], "left_anti")
+    blocked = blocked_files(judged).select(F.col("entry_file").alias("blocked_file"))
+    return rows.join(blocked, splittable_on([rows[entry_file]], [blocked["blocked_file"]]), "left_anti")
 
 
 def summary_by_rule(judged: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchgate.functions.growth import expected_length
+from batchgate.operators.joins import splittable_on
 from batchgate.operators.violations import VIOLATION_COLUMNS, Finding, Rule, row_violations
 
 
@@ -87,7 +88,7 @@ def link_recaptures(recaptures: DataFrame, registry: DataFrame) -> DataFrame:
     ``recaptures`` has recap_id, recap_type, recap_tag, recap_species, recap_lake, entry_file.
     One left join serves the type test, the classes and their explanation.
     """
-    joined = recaptures.join(registry, recaptures["recap_tag"] == registry["tag"], "left")
+    joined = recaptures.join(registry, splittable_on([recaptures["recap_tag"]], [registry["tag"]]), "left")
     same_species = F.col("recap_species").eqNullSafe(F.col("apply_species"))
     same_lake = F.col("recap_lake").eqNullSafe(F.col("apply_lake"))
     problem = (
@@ -147,7 +148,7 @@ def growth_expectation(
 
     ``recaptures`` has recap_tag, recap_date, recap_length.
     """
-    paired = recaptures.join(latest, recaptures["recap_tag"] == latest["tag"], "inner")
+    paired = recaptures.join(latest, splittable_on([recaptures["recap_tag"]], [latest["tag"]]), "inner")
     days = F.datediff(F.col("recap_date"), F.col("apply_date")).cast("double")
     return paired.withColumn("expected", expected_length(F.col(start_length_col), days, linf, k, t0))
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchgate.functions.keys import number_text
+from batchgate.operators.joins import RULE_NO, null_safe_on, splittable_on
 from batchgate.operators.violations import VIOLATION_COLUMNS, Rule, as_violations, rule_columns
 
 
@@ -50,15 +51,6 @@ class KeyRule:
         return (self.required,) if self.required else ()
 
 
-_RULE_NO = "rule_no"
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Equality that treats null as a value.  Spark plans it as an ordinary equi-join."""
-    tests = [left[c] == right[c] if c == _RULE_NO else left[c].eqNullSafe(right[c]) for c in columns]
-    return reduce(lambda a, b: a & b, tests)
-
-
 def key_text(df: DataFrame, column: str) -> Column:
     """Text of a key column, so that ``18`` and ``18.0`` are the same key."""
     kind = df.schema[column].dataType
@@ -85,7 +77,7 @@ def long_keys(
         keys = [key_text(df, n) for n in names]
         padded = keys + [F.lit(None).cast("string")] * (arity - len(keys))
         s = F.struct(
-            F.lit(no).alias(_RULE_NO),
+            F.lit(no).alias(RULE_NO),
             *[k.alias(f"k{i}") for i, k in enumerate(padded)],
             *[c.cast("string").alias(a) for a, c in (carry or {}).get(no, {}).items()],
         )
@@ -112,7 +104,7 @@ def check_keys(
 ) -> DataFrame:
     """Evaluate all rules with one scan per table.  Returns violations, one per distinct key, entity and file."""
     arity = max(len(r.batch) for r in rules)
-    keys = [_RULE_NO, *[f"k{i}" for i in range(arity)]]
+    keys = [RULE_NO, *[f"k{i}" for i in range(arity)]]
     carried = {
         no: {
             "entity": F.col(r.entity) if r.entity else F.lit(None),
@@ -134,15 +126,15 @@ def check_keys(
     seen = seen_keys(asked, known, keys)
 
     unseen = [no for no, r in enumerate(rules) if r.unseen]
+    same_key = splittable_on([asked[k] for k in keys], [seen[k] for k in keys])
     if len(unseen) == len(rules):
-        flagged = asked.join(seen, null_safe_on(asked, seen, keys), "left_anti")
+        flagged = asked.join(seen, same_key, "left_anti")
     elif not unseen:
-        flagged = asked.join(seen, null_safe_on(asked, seen, keys), "left_semi")
+        flagged = asked.join(seen, same_key, "left_semi")
     else:
         # Both kinds of rule: one join that keeps the answer, so that history is still read once.
-        seen = seen.withColumn("hit", F.lit(True))
-        answered = asked.join(seen, null_safe_on(asked, seen, keys), "left")
-        flagged = answered.filter(F.col("hit").isNull() == asked[_RULE_NO].isin(unseen)).select(
+        answered = asked.join(seen.withColumn("hit", F.lit(True)), same_key, "left")
+        flagged = answered.filter(F.col("hit").isNull() == asked[RULE_NO].isin(unseen)).select(
             *[asked[c] for c in asked.columns]
         )
     return _describe(flagged, rules)
@@ -159,7 +151,7 @@ def _describe(flagged: DataFrame, rules: Sequence[KeyRule]) -> DataFrame:
             F.lit(r.column or ",".join(r.batch)).alias("column"),
             value.alias("value"),
         )
-        hit = F.col(_RULE_NO) == no
+        hit = F.col(RULE_NO) == no
         info = F.when(hit, s) if info is None else info.when(hit, s)
     return (
         flagged.select(info.alias("r"), "entity", "entry_file")
@@ -288,8 +280,8 @@ def check_duplicate_keys(
     """
     names = [columns] if isinstance(columns, str) else list(columns)
     rule = rule or Rule("dup_" + "_".join(names))
-    dup = duplicated_keys(batch, names)
-    rows = batch.join(dup, null_safe_on(batch, dup, names), "left_semi")
+    dup = duplicated_keys(batch, names).select(*[F.col(c).alias(f"dup_{c}") for c in names])
+    rows = batch.join(dup, splittable_on([batch[c] for c in names], [dup[f"dup_{c}"] for c in names]), "left_semi")
     value = F.concat_ws("_", *[F.coalesce(key_text(batch, c), F.lit("NA")) for c in names])
     return as_violations(
         rows, rule, entity=value, column=",".join(names), value=value, entry_file=F.col(f"`{entry_file}`")

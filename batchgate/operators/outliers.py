@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchgate.functions.stats import measure_moments, prediction_bounds, regression_fit, regression_moments
+from batchgate.operators.joins import splittable_on
 from batchgate.operators.violations import Finding, Rule, row_violations
 
 MIN_HISTORY = 15
@@ -55,7 +56,7 @@ def with_statistics(batch: DataFrame, stats: DataFrame, group: str) -> DataFrame
 
     The batch is on the left, so a dominant group is a skew that adaptive execution splits.
     """
-    return batch.join(stats, batch[group].eqNullSafe(stats["stat_group"]), "left")
+    return batch.join(stats, splittable_on([batch[group]], [stats["stat_group"]]), "left")
 
 
 def zscore_findings(length: str, rules: tuple[Rule, Rule] | None = None) -> list[Finding]:

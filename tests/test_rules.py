@@ -212,3 +212,80 @@ def test_unforceable_rule_cannot_be_named(spark):
 
 def test_no_rules(spark):
     assert union_violations(spark, []).count() == 0
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("rule", ["zscore", "zscore of the batch", "recapture", "duplicates", "codes", "unseen", "repeated", "both", "rows"])
+def test_a_hot_key_is_split(spark, small_skew_limits, rule):
+    """A key with a third of all rows does not end up in one task, and nothing is lost."""
+    n = 60_000
+    ids = spark.range(0, n, numPartitions=8).withColumn("entry_file", F.md5(F.col("id").cast("string")))
+    g = F.when(F.col("id") < n // 3, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 5000).cast("string")))
+    batch = ids.withColumn("g", g).withColumn("id", F.col("id").cast("string"))
+    if rule == "zscore":
+        stats = outliers.group_statistics(batch.withColumn("v", F.lit(1.0)), "g", "v")
+        out, expected = outliers.with_statistics(batch, stats, "g"), n
+    elif rule == "zscore of the batch":
+        stats = outliers.group_statistics(batch.withColumn("v", F.lit(1.0)), "g", "v", batch=batch)
+        out, expected = outliers.with_statistics(batch, stats, "g"), n
+    elif rule == "unseen":
+        out, expected = membership.check_new_values(batch, batch.filter("g <> 'hot'"), "g"), n // 3
+    elif rule == "repeated":
+        out, expected = membership.check_repeats(batch, batch, "g"), n
+    elif rule == "both":
+        rules = [
+            membership.KeyRule(Rule("a"), ("g",), {"h": ("g",)}),
+            membership.KeyRule(Rule("b"), ("g",), {"h": ("g",)}, unseen=False),
+        ]
+        out, expected = membership.check_keys(batch, {"h": batch.filter("g <> 'hot'")}, rules), n
+    elif rule == "recapture":
+        recaps = batch.select(
+            F.col("id").alias("recap_id"),
+            F.lit("pit").alias("recap_type"),
+            F.col("g").alias("recap_tag"),
+            F.lit("S").alias("recap_species"),
+            F.lit("L").alias("recap_lake"),
+            "entry_file",
+        )
+        applies = batch.select(
+            F.col("g").alias("tag"),
+            F.lit(None).cast("date").alias("apply_date"),
+            F.lit(0).alias("source"),
+            F.col("id").alias("apply_id"),
+            F.lit("pit").alias("apply_type"),
+            F.lit("S").alias("apply_species"),
+            F.lit("M").alias("apply_lake"),
+        )
+        out, expected = linkage.link_recaptures(recaps, linkage.tag_registry(applies)), n
+    elif rule == "duplicates":
+        out, expected = membership.check_duplicate_keys(batch, "g"), n
+    elif rule == "codes":
+        dims = batch.select(F.col("g").alias("abbreviation"), F.col("g").alias("otu")).distinct()
+        out, expected = derive.map_codes(batch.withColumnRenamed("g", "otu"), dims), n
+    else:
+        from batchgate.operators import parse
+
+        lines = batch.select(F.col("g").alias("entry_file"), F.lit(19).alias("line_no"), F.concat("id", F.lit(",A,1,2")).alias("line"))
+        top = batch.select(F.col("g").alias("entry_file")).distinct().select(
+            "entry_file", F.lit(18).alias("line_no"), F.lit("fishNum,species,fishLength,fishWeight").alias("line")
+        )
+        out, expected = parse.sheet_rows(lines, parse.parse_sheets(top), ["fishNum", "otu"]), n
+    assert len(out.collect()) == expected
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
