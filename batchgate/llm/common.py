@@ -5,10 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from functools import cache
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import batchgate
 
@@ -59,3 +61,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of ids, 16 bytes each, up to which a side of a join is broadcast.
+BROADCAST_ROWS = 1 << 20
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """``ids``, staged by the caller, marked for broadcast if it is proven small; else as it is."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def splittable(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join on ``key`` so that a hot key of ``left`` can be split.
+
+    Adaptive execution splits a key's rows only where both sides are shuffled for the join alone.
+    ``right`` was mostly just grouped by the key; compared as a struct it is shuffled anew.  Null keys
+    match nothing.
+    """
+    named = F.struct(F.col(key).alias("k"))
+    a = left.withColumn("_k", F.when(F.col(key).isNotNull(), named))
+    b = right.withColumn("_k", F.when(F.col(key).isNotNull(), named)).drop(key)
+    return a.join(b, "_k", how).drop("_k")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchgate.llm import packing, records
+from batchgate.llm import (
+    decontaminate,
+    language_id,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    records,
+    token_counts,
+    toxicity,
+    winnowing,
+)
 from batchgate.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,12 +38,102 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+LINE_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL
+), windows AS (
+  SELECT doc_id, pos, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c
+  FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+  SELECT doc_id, pos FROM windows WHERE c IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, pos + step AS pos FROM later, (VALUES (0), (1), (2)) AS s (step)
+), cut AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(c.pos) AS removed_lines,
+         coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE c.pos IS NULL), '') AS text
+  FROM lines l LEFT JOIN covered c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(removed_lines, 0) AS removed_lines, cut.text
+FROM documents d LEFT JOIN cut ON d.doc_id = cut.doc_id
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "removed_lines", "text")
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.flag(docs, labels)
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.size("item_ids") > 0)
+
+
+@query("op7_licenses")
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree of sources, languages and shelves of 256; some lie higher up in it."""
+    docs = table(spark, sf_dir, "documents")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    shelf = F.floor(F.col("doc_id") / 256).cast("string")
+    path = (
+        F.when(F.col("doc_id") % 16 == 0, F.concat_ws("/", "source", name))
+        .when(F.col("doc_id") % 4 == 0, F.concat_ws("/", "source", "lang", name))
+        .otherwise(F.concat_ws("/", "source", "lang", shelf, name))
+    )
+    return licenses.scan(docs.withColumn("path", path)).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnowing.with_next(table(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", winnowing.edited(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("edited_prints", winnowing.fingerprint(F.col("edited")))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.as_string(F.col("prints")).alias("fingerprint"),
+        winnowing.as_string(F.col("edited_prints")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
+        winnowing.likeness(F.col("prints"), F.col("next_prints")).alias("near_next"),
+    )
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(True))
+    learned = language_id.prototypes(docs.where(~held_out).select("text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), learned)
+    return found.withColumn("held_out", held_out)
+
+
 @query("op10_binary_records")
 def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(
