@@ -1,15 +1,17 @@
 """Token ids of whole texts by the ``tokenizers`` library, with each distinct word encoded once.
 
-Both public tokenizers split a text into words before they merge, and never across the start of a run
-of blanks; so a text's ids are those of its chunks one after another.  Chunks and the words in them are
-kept in bounded dictionaries, and only new words reach the library.  Texts in which that might not hold
-(other white space, letters that normalising may join or that grow when lower-cased) are encoded whole.
+Both public tokenizers split a text into words before they merge, and never across the start of a blank
+between two words; so a text's ids are those of its chunks one after another.  Chunks, and the words in
+them, are kept in bounded memories, and only new words reach the library.  Texts in which that might not
+hold (runs of blanks, other white space, letters that normalising may join or that change with their
+neighbours when lower-cased) are encoded whole.
 """
 
 from __future__ import annotations
 
-import re
+import struct
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import regex
@@ -19,66 +21,94 @@ ID = np.dtype("<u4")
 
 # Fixed value: the word pattern of the byte-level tokenizer.
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Fixed value: that of the lower-casing tokenizer, for text as it is before lower-casing.
-PLAIN_WORDS = r"'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# Fixed value: that of the lower-casing tokenizer.
+PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
-_OTHER_SPACE = re.compile(r"[^\S \n]|\x85|[​﻿]")
+#: White space other than blank and newline, and characters that some count as such.
+_ODD = "".join(chr(i) for i in range(0x3001) if (chr(i).isspace() and chr(i) not in " \n") or i in (0x180E, 0x200B, 0x2060)) + "﻿"
+_ODD_ASCII = [c for c in _ODD if c.isascii()]
+
+
+class Memory(dict):
+    """What ``make`` gives for a key, remembered for the last ``limit`` to twice as many keys in use."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class TokenEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; remembers at most ``limit`` chunks and words."""
+    """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, chunks: int = 400_000, words: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens inside a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.byte_level = self.tokenizer.normalizer is None
-        self._chunks = re.compile(r"[ \n]*[^ \n]+|[ \n]+" if self.byte_level else r"[^ \n]+")
-        self._words = regex.compile(BYTE_WORDS if self.byte_level else PLAIN_WORDS)
-        self._limit = limit
-        self._by_chunk: dict[str, bytes] = {}
-        self._by_word: dict[str, bytes] = {}
+        self._model = self.tokenizer.model
+        self._pattern = regex.compile(BYTE_WORDS if self.byte_level else PLAIN_WORDS)
+        self._word = Memory(self._encode_word, words)
+        self._chunk = Memory(self._encode_chunk, chunks)
 
     @property
     def vocabulary_size(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, text: str) -> bytes:
         """Ids straight from the library."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=ID).tobytes() for e in found]
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if not text.isascii() and (_OTHER_SPACE.search(text) or not self._safe(text)):
-            return self.whole([text])[0]
-        if text.isascii() and _OTHER_SPACE.search(text):
-            return self.whole([text])[0]
-        chunks = self._chunks.findall(text)
-        known = self._by_chunk
-        new = {c for c in chunks if c not in known}
-        if new:
-            if len(known) + len(new) > self._limit:
-                known.clear()
-                new = set(chunks)
-            self._learn(new)
-        return b"".join([known[c] for c in chunks])
-
-    def _safe(self, text: str) -> bool:
-        return self.byte_level or ("İ" not in text and unicodedata.is_normalized("NFC", text))
-
-    def _learn(self, chunks: set[str]) -> None:
-        split = {c: self._words.findall(c) for c in chunks}
-        known = self._by_word
-        new = {w for words in split.values() for w in words if w not in known}
-        if len(known) + len(new) > self._limit:
-            known.clear()
-            new = {w for words in split.values() for w in words}
-        ordered = list(new)
-        known.update(zip(ordered, self.whole(ordered), strict=True))
-        for c, words in split.items():
-            self._by_chunk[c] = b"".join([known[w] for w in words])
+        if not self._separable(text):
+            return self.whole(text)
+        known = self._chunk
+        if not self.byte_level:
+            return b"".join([known[c] for c in text.lower().replace("\n", " ").split(" ")])
+        # A chunk stands for itself after a blank, or after the newline that it begins with.
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return self._encode_words(first) + b"".join([known[c] for c in rest])
+
+    def _separable(self, text: str) -> bool:
+        if text.isascii():
+            if any(c in text for c in _ODD_ASCII):
+                return False
+        elif any(c in text for c in _ODD):
+            return False
+        elif not self.byte_level and ("İ" in text or "Σ" in text or not unicodedata.is_normalized("NFC", text)):
+            return False
+        if not self.byte_level:
+            return True
+        return not (
+            text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        )
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        if self.byte_level and chunk[0] != "\n":
+            chunk = " " + chunk
+        return self._encode_words(chunk)
+
+    def _encode_words(self, text: str) -> bytes:
+        return b"".join([self._word[w] for w in self._pattern.findall(text)])
+
+    def _encode_word(self, word: str) -> bytes:
+        bare = word[1:] if self.byte_level and word[0] == " " else word
+        if not (bare.isascii() and bare.isalpha()):
+            return self.whole(word)
+        # ASCII letters stand for themselves in the model's alphabet, and this letter for a blank.
+        tokens = self._model.tokenize(bare if bare is word else "Ġ" + bare)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
 
 _ENCODERS: dict[str, TokenEncoder] = {}

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from batchgate.llm.common import ship
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_lines string, start string"
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    """The session, with the library given to its Python workers."""
+    return ship(spark)
+
+
+@pytest.fixture(scope="session")
+def words():
+    rng = random.Random(7)
+    return ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+
+
+def frame(spark, rows):
+    """``(doc_id, text)`` rows as a table with more columns, some of them null or named as results are."""
+    full = [(d, t, "en" if d and d % 2 else None, None, len(t or ""), "x", None, "y") for d, t in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def odd(words):
+    """Texts of all kinds: null, empty, blank, of one word, long, repeated, not ASCII; ids null or repeated."""
+    rng = random.Random(11)
+    long = "\n".join(" ".join(rng.choice(words) for _ in range(12)) for _ in range(900))
+    base = " ".join(rng.choice(words) for _ in range(120))
+    near = base.split()
+    near[60] = "changed"
+    return [
+        (1, base),
+        (2, None),
+        (3, ""),
+        (4, " \n\t "),
+        (5, "word"),
+        (6, "one two three"),
+        (7, long),
+        (8, base),
+        (9, " ".join(near)),
+        (10, "Ünïcode 漢字 🎉 İstanbul don't 42,000 <|endoftext|> é"),
+        (10, "Ünïcode 漢字 🎉 İstanbul don't 42,000 <|endoftext|> é"),
+        (None, base),
+        (None, None),
+        (12, "x" * 5000),
+        (13, "a\nb\nc\nd\na\nb\nc\ne"),
+        (14, "a\nb\nc"),
+        (15, base.upper()),
+    ]
