@@ -61,18 +61,18 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one.  Columns named ``n_lines`` or ``removed_lines`` are replaced, all others kept.
     """
     cut = stage(repeated_ranges(docs, id_col, text_col), "ranges")
-    cut = cut.withColumnsRenamed({"doc_id": "_id", "ranges": "_ranges"})
-    rows = docs.join(bounded(cut), F.col(id_col).cast("long") == F.col("_id"), "left")
+    cut = cut.withColumnsRenamed({"doc_id": "__cut_id", "ranges": "__cut_ranges"})
+    rows = docs.join(bounded(cut), F.col(id_col).cast("long") == F.col("__cut_id"), "left")
 
     def kept(lines: Column) -> Column:
-        begins = F.concat(F.array(F.lit(0)), F.transform("_ranges", lambda r: r["hi"] + 1))
-        ends = F.concat(F.transform("_ranges", lambda r: r["lo"]), F.array(F.size(lines)))
+        begins = F.concat(F.array(F.lit(0)), F.transform("__cut_ranges", lambda r: r["hi"] + 1))
+        ends = F.concat(F.transform("__cut_ranges", lambda r: r["lo"]), F.array(F.size(lines)))
         parts = F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, F.greatest(b - a, F.lit(0))))
         return F.array_join(F.flatten(parts), "\n")
 
     lines = F.array(F.split(text_col, "\n"))
-    text = F.when(F.col("_id").isNull(), F.col(text_col)).otherwise(F.get(F.transform(lines, kept), F.lit(0)))
-    removed = F.aggregate("_ranges", F.lit(0), lambda n, r: n + r["hi"] - r["lo"] + 1)
+    text = F.when(F.col("__cut_id").isNull(), F.col(text_col)).otherwise(F.get(F.transform(lines, kept), F.lit(0)))
+    removed = F.aggregate("__cut_ranges", F.lit(0), lambda n, r: n + r["hi"] - r["lo"] + 1)
     n_lines = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"))) + 1
     return rows.withColumns(
         {
@@ -80,4 +80,4 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             "n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"),
             "removed_lines": F.coalesce(removed, F.lit(0)).cast("long"),
         }
-    ).drop("_id", "_ranges")
+    ).drop("__cut_id", "__cut_ranges")
