@@ -56,8 +56,13 @@ def word_spans(data: np.ndarray, at: np.ndarray, between: np.ndarray = _BLANK) -
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
-def word_hashes(texts: pa.Array, between: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all words in order, and the first word of each text (and the last one's end)."""
+def word_hashes(
+    texts: pa.Array, between: np.ndarray = _BLANK, most: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all words in order, and the first word of each text (and the last one's end).
+
+    With ``most``, a word counts as its first so many bytes.
+    """
     data, at = text_bytes(texts)
     first, last = word_spans(data, at, between)
     byte = np.where(between, np.uint64(0), _BYTE)
@@ -69,6 +74,9 @@ def word_hashes(texts: pa.Array, between: np.ndarray = _BLANK) -> tuple[np.ndarr
         powers = np.multiply.accumulate(np.full(lengths.max() + 1, _BASE[0], dtype=np.uint64))
         place = np.arange(hi - lo) - np.repeat(s - lo, np.diff(np.append(s, hi)))
         value = byte[data[lo:hi]] * powers[np.minimum(place, len(powers) - 1)]
+        if most is not None:
+            value[place >= most] = 0
+            lengths = np.minimum(lengths, most)
         out[a : a + (1 << 16)] = mix(np.add.reduceat(value, s - lo) + lengths.astype(np.uint64))
     return out, np.searchsorted(first, at)
 
