@@ -6,14 +6,14 @@
 3. Documents that share a band key form a bucket.  Each member is paired with two of the bucket, the
    smallest id and one chosen by hash, never with all; pairs whose sketches rule the similarity out go,
    a member's three most likely pairs are verified on the full sets, and union-find groups the links.
-4. Buckets that still hold several groups are searched for the links between those: pairs of different
-   groups whose sketches allow the similarity, each in the first bucket that the two share.  These are
-   verified too, and union-find runs once more.
+4. In buckets that still hold several groups, members of different groups are compared where they meet:
+   their sketches, then their sets, folded to 32 bits, whose shared values bound the similarity from
+   above.  Only pairs that pass leave the join, each from the first bucket that the two share.  These
+   are verified on the full sets, and union-find runs once more.
 
 So the members of a large group of copies are compared with a few of their number each, and yet no
 link of two groups is passed over.  A pair at a similarity of exactly 0.75 shares no band with a
-probability of 4e-6, and less above that.  A sketch rules out such a pair at 3.5 (large sets) to 4.5
-standard deviations.
+probability of 4e-6, and less above that; its sketches rule it out at five standard deviations.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from batchgate.llm.wordhash import shingles, word_hashes
 
 SHINGLE, BANDS, ROWS = 5, 64, 6
 SKETCH = BANDS * ROWS // 16
+#: At 0.75 90 slots of two sketches are expected to differ, with a standard deviation of at most 8.4.
+MOST_DIFFERING = 132
 SIGNED = "doc_id long, n int, digest binary, keys array<long>, sketch array<long>"
 #: Documents handled at once within an Arrow batch.
 SLICE = 256
@@ -79,13 +81,37 @@ def _differing(a: str, b: str) -> str:
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether sizes and sketches allow a similarity of 0.75, which 90 differing slots are expected at."""
+    """Whether sizes and sketches allow a similarity of 0.75."""
     return F.expr(
         f"100 * least({a}.n, {b}.n) >= 75 * greatest({a}.n, {b}.n) and "
-        f"{_differing(a, b)} <= if(greatest({a}.n, {b}.n) <= 1000, 120, 128)"
+        f"{_differing(a, b)} <= {MOST_DIFFERING}"
     )
 
 
+def _bounded_by_sets(a: str, b: str) -> Column:
+    """Whether folded sets allow a similarity of 0.75; folding makes one of at most so many as it removes."""
+    shared = f"(size(array_intersect({a}.fold, {b}.fold)) + {a}.n - size({a}.fold))"
+    return F.expr(f"7 * {shared} >= 3 * ({a}.n + {b}.n)")
+
+
+def folded(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rep, fold``: the upper halves of the shingles of the documents in ``ids`` (rep)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                words, first = word_hashes(part.column(1))
+                sets = [shingles(words[a:b], SHINGLE) for a, b in zip(first, first[1:], strict=False)]
+                folds = [np.unique(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(folds, type=pa.list_(pa.int32()))], names=["rep", "fold"]
+                )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
+    return rows.join(bounded(ids), "rep", "left_semi").mapInArrow(run, "rep long, fold array<int>")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Those pairs ``(a, b)`` of ids whose full sets have a similarity of at least 0.75."""
 
@@ -153,13 +179,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = splittable(bucket.select("key", "band", "rep"), root.withColumnRenamed("node", "rep"), "rep", "left")
     placed = placed.withColumn("root", F.coalesce("root", "rep"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    open_ = splittable(placed, mixed.select("key"), "key", "left_semi")
-    open_ = stage(open_.join(known, "rep"), "open")
+    open_ = stage(splittable(placed, mixed.select("key"), "key", "left_semi"), "open")
+    inside = stage(open_.select("rep").distinct(), "inside")
+    folds = stage(folded(docs, inside, id_col, text_col), "folds")
+    open_ = open_.join(known, "rep").join(folds, "rep")
     apart = open_.alias("x").join(
         open_.alias("y"),
         F.expr("x.key = y.key and x.rep > y.rep and x.root != y.root")
         & _possible("x", "y")
-        & F.expr("array_position(zip_with(x.keys, y.keys, (p, q) -> p = q), true) = x.band + 1"),
+        & F.expr("array_position(zip_with(x.keys, y.keys, (p, q) -> p = q), true) = x.band + 1")
+        & _bounded_by_sets("x", "y"),
     )
     pairs = stage(apart.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs")
     more = stage(verified(pairs, docs, id_col, text_col), "verified")
@@ -181,14 +210,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest, one for each id; null ids stay."""
     found = stage(near_duplicates(docs, id_col, text_col), "components")
-    key = F.col(id_col).cast("long") == F.col("_id")
-    gone = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    key = F.col(id_col).cast("long") == F.col("__gone_id")
+    gone = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone_id")).distinct(), "gone")
     rest = docs.join(bounded(gone), key, "left_anti")
-    often = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count()
-    often = stage(often.where("count > 1").select("_id"), "often")
+    often = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__gone_id")).count()
+    often = stage(often.where("count > 1").select("__gone_id"), "often")
     if often.isEmpty():
         return rest
     mine = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = rest.join(bounded(often), key, "left_semi").groupBy(F.col(id_col).alias("_id"))
+    one = rest.join(bounded(often), key, "left_semi").groupBy(F.col(id_col).alias("__gone_id"))
     one = one.agg(F.min_by(mine, F.xxhash64(text_col)).alias("r")).select("r.*")
     return rest.join(bounded(often), key, "left_anti").unionByName(one)
