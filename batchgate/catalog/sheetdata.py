@@ -6,10 +6,16 @@ expensive ones carry a trap column, low-priority ones lack a sample group, and s
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate.catalog.tables import table
+from batchgate.operators.parse import HEADER_KEYS
 
 # The same facts in SQL, for the oracle.
 SHEET_SQL = """
@@ -128,3 +134,58 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_lines(spark, sf_dir).unionByName(
         data_lines(sheet_orders(spark, sf_dir), table(spark, sf_dir, "lineitem"))
     )
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share; only a local session may make one of its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return f"{named.rstrip('/')}/sheets-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="batchgate-sheets-")
+
+
+def sheet_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Write a sheet file for each month of orders, and one for all filled orders; ``entry_file, lines``.
+
+    These sheets have 18 lines of keys.  A file is written by one task, line by line.
+    """
+    keys = ["season", *HEADER_KEYS]
+    head = "".join(f"{k},{k[:3]}\r\n" for k in keys) + "fishNum,species,fishLength,fishWeight\r\n"
+    o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    month = F.concat(F.lit("m_"), F.substring(F.col("o_orderdate").cast("string"), 1, 7), F.lit("-01_0000.csv"))
+    name = F.when(F.col("o_orderstatus") == "F", F.lit("filled_1990-01-01_0000.csv")).otherwise(month)
+    cells = [F.col(c).cast("string") for c in ("l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice")]
+    rows = o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        name.alias("entry_file"), F.concat(F.concat_ws(",", *cells), F.lit("\r\n")).alias("line")
+    )
+
+    def write(batches):
+        files, root = fs.FileSystem.from_uri(folder)
+        files.create_dir(root, recursive=True)
+        name, out, n, done = None, None, 0, []
+
+        def close():
+            if out is not None:
+                out.close()
+                files.move(f"{root}/.{name}.part", f"{root}/{name}")
+                done.append((name, n))
+
+        for batch in batches:
+            for file, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if file != name:
+                    close()
+                    name, n = file, 0
+                    out = files.open_output_stream(f"{root}/.{name}.part")
+                    out.write(head.encode())
+                out.write(line.encode())
+                n += 1
+        close()
+        yield pa.RecordBatch.from_pydict(
+            {"entry_file": pa.array([d[0] for d in done], pa.string()), "lines": pa.array([d[1] for d in done], pa.int64())}
+        )
+
+    by_file = rows.repartition("entry_file").sortWithinPartitions("entry_file")
+    return by_file.mapInArrow(write, "entry_file string, lines long")
+

@@ -16,6 +16,7 @@ from batchgate.plans import fish
 from batchgate.plans.admit import RECORDS, VIOLATIONS, JUDGED_SCHEMA, BatchConfig, admit_folder
 from batchgate.sources.accumulators import load_or_init
 from batchgate.sources.reference import reference_table
+from batchgate.sources.sheets import HEADER_ROWS
 from batchgate.streaming.incremental import replay_quarantine, run_incremental
 
 TABLES = ("lakes", "sites", "otu", "samples", "records")
@@ -34,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--growth", action="store_true", help="also test growth since tagging")
     p.add_argument("--pit-pattern")
     p.add_argument("--floy-pattern")
+    p.add_argument("--header-rows", type=int, default=HEADER_ROWS, help="lines up to the column names of regular sheets")
+    p.add_argument("--max-files", type=int, help="sheets that one round of --stream takes at most")
     p.add_argument("--stream", metavar="CHECKPOINT", help="take what is new since the last run with this checkpoint")
     p.add_argument("--replay", action="store_true", help="judge the quarantined sheets again")
     return p
@@ -51,10 +54,15 @@ def main(argv: list[str] | None = None) -> int:
         mode=args.mode or "batch",
         force=tuple(args.force),
         overrides=spark.read.schema(OVERRIDE_SCHEMA).parquet(args.overrides) if args.overrides else None,
-        options=fish.Options(growth=args.growth, pit_pattern=args.pit_pattern, floy_pattern=args.floy_pattern),
+        options=fish.Options(
+            growth=args.growth,
+            pit_pattern=args.pit_pattern,
+            floy_pattern=args.floy_pattern,
+            header_rows=args.header_rows,
+        ),
     )
     if args.stream:
-        run_incremental(spark, args.folder, config, args.stream, mode=args.mode or "file")
+        run_incremental(spark, args.folder, config, args.stream, mode=args.mode or "file", max_files=args.max_files)
         found = load_or_init(spark, args.root, VIOLATIONS, JUDGED_SCHEMA)
         refused = False
     else:

@@ -12,10 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from batchgate.session import stage
+
 # File names of sheets, and the mark of a trap sheet.
 SHEET_PATTERN = r"[0-9]{4}-[0-9]{2}-[0-9]{2}_[0-9]{4}\.csv|minnowtrap"
 TRAP_MARK = "minnowtrap"
 HEADER_ROWS = 18
+#: Lines of a sheet that are handled as one group.
+CHUNK_LINES = 1 << 18
 
 _BOM = "﻿"
 
@@ -41,11 +45,11 @@ def list_files(spark: SparkSession, path: str, modified_after: str | None = None
     return reader.load(path).select(F.col("_metadata.file_name").alias("entry_file"))
 
 
-def discover_sheets(files: DataFrame, column: str = "entry_file") -> DataFrame:
+def discover_sheets(files: DataFrame, column: str = "entry_file", header_rows: int = HEADER_ROWS) -> DataFrame:
     """Files whose name says they are sheets, with their kind."""
     name = F.col(column)
     return files.filter(is_sheet(name)).select(
-        name.alias("entry_file"), is_trap(name).alias("is_trap"), name_line(name).alias("name_line")
+        name.alias("entry_file"), is_trap(name).alias("is_trap"), name_line(name, header_rows).alias("name_line")
     )
 
 
@@ -54,9 +58,9 @@ def _not_ingested(files: DataFrame, ingested: DataFrame) -> DataFrame:
     return files.join(done, files["entry_file"] == done["done_file"], "left_anti")
 
 
-def pending_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
+def pending_files(files: DataFrame, ingested: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
     """Sheets that the accumulator does not hold yet."""
-    return _not_ingested(discover_sheets(files), ingested)
+    return _not_ingested(discover_sheets(files, header_rows=header_rows), ingested)
 
 
 def unmatched_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
@@ -68,23 +72,37 @@ def unmatched_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
 class SheetLines:
     """Numbered lines of many sheets.
 
-    ``lines`` has entry_file, line_no, line; blank lines are left out and not counted.  ``top`` has at
-    least the first ``HEADER_ROWS`` lines of each sheet.  Where ``chunks`` is given, lines also have a
-    ``chunk``, a part of the sheet of bounded size, and ``chunks`` (entry_file, chunk) lists all but
-    the first, 0: joins can then use the chunk as a second key, so a huge sheet is never one group.
+    ``lines`` has entry_file, line_no, line; blank lines are left out and not counted.  Where ``chunks``
+    is given, lines also have a ``chunk``, a part of the sheet of bounded size, and ``chunks``
+    (entry_file, chunk) lists all but the first, 0: joins can then use the chunk as a second key, so a
+    huge sheet is never one group.  ``repeated`` (entry_file, paths) has the names that several files
+    bear; ``lines`` has those of the first of them by path.
     """
 
     lines: DataFrame
-    top: DataFrame
     chunks: DataFrame | None = None
+    repeated: DataFrame | None = None
+
 
+def read_sheets(
+    spark: SparkSession,
+    path: str | list[str],
+    scratch: str,
+    modified_after: str | None = None,
+    files: DataFrame | None = None,
+) -> SheetLines:
+    """The sheets under ``path``, or those modified after a time; only those are then listed and read.
 
-def read_sheets(spark: SparkSession, path: str | list[str], modified_after: str | None = None) -> SheetLines:
-    """All files under ``path``, or those modified after a time; only those are then listed and read."""
+    ``files`` (entry_file) names the sheets to take: lines of others are dropped in the scan.  Lines
+    are staged under ``scratch``.
+    """
     reader = spark.read
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    return number_lines(located(reader.text(path)))
+    scan = located(reader.text(path)).filter(is_sheet(F.col("entry_file")))
+    if files is not None:
+        scan = scan.join(files.select("entry_file"), "entry_file", "left_semi")
+    return number_lines(scan, scratch)
 
 
 def located(text: DataFrame) -> DataFrame:
@@ -92,54 +110,46 @@ def located(text: DataFrame) -> DataFrame:
     return text.select(
         "value",
         F.col("_metadata.file_name").alias("entry_file"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("chunk"),
-        F.col("_metadata.file_block_length").alias("chunk_length"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("split"),
     )
 
 
-def number_lines(scan: DataFrame) -> SheetLines:
+def number_lines(scan: DataFrame, scratch: str) -> SheetLines:
     """Number the lines of a :func:`located` scan.
 
-    Files are read split by split, so a huge sheet is not one task.  Within a split the reading order
-    is the line order; a window over (file, split) numbers the lines, and a split is bounded by
-    ``spark.sql.files.maxPartitionBytes``.  Only files of more than one split need the line counts
-    of their earlier splits; the size filter on those is applied to the file listing.
+    Files are read split by split, so a huge sheet is not one task.  Where a file is cut depends on
+    what else is scanned and on the cluster at that moment, so the scan runs once and is staged, and
+    all that follows sees the same splits.  Each task numbers the lines that it reads; a line's number
+    in its split is the difference to the split's first, which is a minimum, so nothing is sorted and
+    no split or compressed file has to be one group.
     """
     line = F.rtrim(F.col("value"), F.lit("\r"))
-    text = scan.withColumn("line", F.when(F.col("chunk") == 0, F.ltrim(line, F.lit(_BOM))).otherwise(line))
-    text = text.filter("line <> ''")
-
-    split = Window.partitionBy("entry_file", "chunk")
-    numbered = text.select(
-        "entry_file", "chunk", "line", F.monotonically_increasing_id().alias("read_order")
-    ).withColumn("in_chunk", F.row_number().over(split.orderBy("read_order")))
-
-    smallest_split = _smallest_split(scan.sparkSession)
-    counts = (
-        text.filter((F.col("file_size") > smallest_split) & (F.col("chunk_length") < F.col("file_size")))
-        .groupBy("entry_file", "chunk")
-        .agg(F.count(F.lit(1)).alias("n"))
+    text = scan.withColumn("line", F.when(F.col("split") == 0, F.ltrim(line, F.lit(_BOM))).otherwise(line))
+    text = text.filter("line <> ''").select(
+        "entry_file", "path", "split", "line", F.monotonically_increasing_id().alias("read_order")
     )
-    earlier = Window.partitionBy("entry_file").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("entry_file", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-
-    def placed(rows: DataFrame) -> DataFrame:
-        line_no = F.col("in_chunk") + F.coalesce("offset", F.lit(0))
-        return rows.join(offsets, ["entry_file", "chunk"], "left").select(
-            "entry_file", "chunk", line_no.alias("line_no"), "line"
-        )
+    text = stage(text, f"{scratch}/lines")
 
-    # The first lines of a sheet are among the first lines of its splits.  This limit is applied
-    # before the shuffle, so the pass over the headers moves only a few lines of each file.
-    top = placed(numbered.filter(F.col("in_chunk") <= HEADER_ROWS)).filter(F.col("line_no") <= HEADER_ROWS)
-    return SheetLines(placed(numbered), top, counts.filter("chunk > 0").select("entry_file", "chunk"))
-
-
-def _smallest_split(spark: SparkSession) -> int:
-    """No file up to this size is ever split."""
-    size = spark._jsparkSession.sessionState().conf()
-    return min(size.filesMaxPartitionBytes(), size.filesOpenCostInBytes())
+    splits = text.groupBy("entry_file", "path", "split").agg(
+        F.min("read_order").alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    splits = stage(splits, f"{scratch}/splits")
+    paths = splits.groupBy("entry_file").agg(F.min("path").alias("path"), F.count_distinct("path").alias("paths"))
+    repeated = paths.filter("paths > 1").select("entry_file", "paths")
+    splits = splits.join(paths.select("entry_file", "path"), ["entry_file", "path"], "left_semi")
+    # The splits of one file.
+    earlier = Window.partitionBy("entry_file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    bases = splits.select("path", "split", (offset + 1 - F.col("first")).alias("base"))
+
+    line_no = F.col("read_order") + F.col("base")
+    lines = text.join(bases, ["path", "split"]).select(
+        "entry_file", F.floor(line_no / CHUNK_LINES).alias("chunk"), line_no.alias("line_no"), "line"
+    )
+    sizes = splits.groupBy("entry_file").agg(F.floor(F.sum("n") / CHUNK_LINES).alias("last")).filter("last > 0")
+    chunks = sizes.select("entry_file", F.explode(F.sequence(F.lit(1).cast("bigint"), "last")).alias("chunk"))
+    return SheetLines(lines, chunks, repeated)
 
 
 def lines_of(contents: DataFrame) -> DataFrame:

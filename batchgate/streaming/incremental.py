@@ -12,9 +12,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchgate.operators.joins import splittable_on
 from batchgate.operators.violations import as_violations
 from batchgate.plans import fish
 from batchgate.plans.admit import LINE_SCHEMA, QUARANTINE, SAMPLES, BatchConfig, BatchResult, run_batch
+from batchgate.session import scratch_root
 from batchgate.sources.accumulators import load_or_init
 from batchgate.sources.sheets import is_sheet, located, number_lines
 
@@ -49,8 +51,10 @@ def run_incremental(
             entry_file=F.col("entry_file"),
         )
         # The epoch names the batch: a retried epoch overwrites its own folders.
-        sheets = number_lines(scan.filter(sheet))
-        run_batch(scan.sparkSession, sheets, config, f"{prefix}-{epoch:08d}", extra=[others])
+        batch = f"{prefix}-{epoch:08d}"
+        spark = scan.sparkSession
+        sheets = number_lines(scan.filter(sheet), f"{scratch_root(spark, config.root)}/{batch}")
+        run_batch(spark, sheets, config, batch, extra=[others])
 
     query = (
         sheet_stream(spark, path, max_files)
@@ -67,7 +71,10 @@ def replay_quarantine(spark: SparkSession, config: BatchConfig, batch_id: str) -
     kept = load_or_init(spark, config.root, QUARANTINE, LINE_SCHEMA).filter(F.col("batch_id") != batch_id)
     samples = load_or_init(spark, config.root, SAMPLES, fish.SAMPLE_SCHEMA).filter(F.col("batch_id") != batch_id)
     done = samples.select(F.col("entry_file").alias("done_file")).distinct()
-    # A sheet may have been refused more than once with the same lines.
-    lines = kept.select("entry_file", "line_no", "line").distinct()
-    todo = lines.join(done, lines["entry_file"] == done["done_file"], "left_anti")
+    # A sheet may have been refused more than once, and changed in between: the latest batch counts.
+    latest = kept.groupBy(F.col("entry_file").alias("file")).agg(F.max("batch_id").alias("last"))
+    lines = kept.join(
+        latest, splittable_on([kept["entry_file"], kept["batch_id"]], [latest["file"], latest["last"]]), "left_semi"
+    ).select("entry_file", "line_no", "line")
+    todo = lines.join(done, splittable_on([lines["entry_file"]], [done["done_file"]]), "left_anti")
     return run_batch(spark, todo, replace(config, keep_rejected=False), batch_id)

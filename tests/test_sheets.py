@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import gzip
 import io
 
 import pytest
@@ -48,24 +49,34 @@ def _expected(sheets):
     return out
 
 
+def _read(spark, tmp_path, sheets, **more):
+    folder = tmp_path / "in"
+    folder.mkdir(exist_ok=True)
+    return src.read_sheets(spark, _folder(folder, sheets), str(tmp_path / "scratch"), **more)
+
+
 def test_lines_of_files(spark, tmp_path):
     sheets = _three()
-    got = src.read_sheets(spark, _folder(tmp_path, sheets)).lines.select("entry_file", "line_no", "line")
+    got = _read(spark, tmp_path, sheets).lines.select("entry_file", "line_no", "line")
     assert {tuple(r) for r in got.collect()} == _expected(sheets)
 
 
-def test_lines_of_split_files(spark, tmp_path, tiny_splits):
+@pytest.fixture
+def small_chunks(monkeypatch):
+    monkeypatch.setattr(src, "CHUNK_LINES", 16)
+
+
+def test_lines_of_split_files(spark, tmp_path, tiny_splits, small_chunks):
     sheets = _three()
-    read = src.read_sheets(spark, _folder(tmp_path, sheets))
-    assert read.lines.select("chunk").distinct().count() > 10
+    read = _read(spark, tmp_path, sheets)
+    assert spark.read.parquet(str(tmp_path / "scratch/splits")).count() > 10
+    assert read.lines.select("entry_file", "chunk").distinct().count() > 10
     assert {tuple(r) for r in read.lines.select("entry_file", "line_no", "line").collect()} == _expected(sheets)
-    top = read.top.groupBy("entry_file").agg(F.max("line_no"), F.count("*")).collect()
-    assert {tuple(r)[1:] for r in top} == {(18, 18)}
 
 
-def test_rows_of_split_files(spark, tmp_path, tiny_splits):
-    read = src.read_sheets(spark, _folder(tmp_path, _three()))
-    headers = parse.type_header(parse.parse_sheets(read.top))
+def test_rows_of_split_files(spark, tmp_path, tiny_splits, small_chunks):
+    read = _read(spark, tmp_path, _three())
+    headers = parse.type_header(parse.parse_sheets(read.lines))
     rows = parse.sheet_rows(read.lines, headers, ["fishNum", "otu", "trapNumber"], ["lakeID"], chunks=read.chunks)
     counts = {r["entry_file"]: r["n"] for r in rows.groupBy("entry_file").agg(F.count("*").alias("n")).collect()}
     assert counts == {NAME: 200, "b_2021-06-03_1127.csv": 3, "minnowtrap1.csv": 1}
@@ -73,14 +84,74 @@ def test_rows_of_split_files(spark, tmp_path, tiny_splits):
     assert mine == [float(i) for i in range(200)]
 
 
-def test_header_pass_limits_before_the_shuffle(spark, tmp_path):
-    plan = src.read_sheets(spark, _folder(tmp_path, _three())).top._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_files_of_very_unlike_sizes(spark, tmp_path):
+    """Default settings cut a large file by what else is scanned; every line must stay, and its number."""
+    size = 20_000
+    block = "".join(f"{i},LMB,{i % 400},1\r\n" for i in range(size))
+    head = sheet([], columns=["fishNum", "species", "fishLength", "fishWeight"])
+    sheets = {f"s{k}_2021-06-03_112{k}.csv": head + block * (60 if k == 0 else 5) for k in range(9)}
+    read = _read(spark, tmp_path, sheets)
+    splits = spark.read.parquet(str(tmp_path / "scratch/splits")).groupBy("entry_file").count()
+    assert splits.agg(F.max("count")).first()[0] > 1
+    rows = parse.sheet_rows(read.lines, parse.parse_sheets(read.lines), ["fishNum", "otu"], chunks=read.chunks)
+    got = rows.groupBy("entry_file").agg(
+        F.count("*").alias("n"),
+        F.sum("fishNum").alias("total"),
+        F.sum((F.col("fishNum") != (F.col("line_no") - 19) % size).cast("int")).alias("misplaced"),
+    )
+    want = {(f, size * k, size * (size - 1) / 2 * k, 0) for f, k in zip(sorted(sheets), [60] + [5] * 8, strict=True)}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_compressed_sheets(spark, tmp_path, small_chunks):
+    (tmp_path / "in").mkdir()
+    text = sheet([fish_row(i) for i in range(100)])
+    (tmp_path / "in" / f"{NAME}.gz").write_bytes(gzip.compress(text.encode()))
+    read = src.read_sheets(spark, str(tmp_path / "in"), str(tmp_path / "scratch"))
+    got = {tuple(r) for r in read.lines.select("entry_file", "line_no", "line").collect()}
+    assert got == _expected({f"{NAME}.gz": text})
+    assert read.lines.select("chunk").distinct().count() > 3
+
+
+def test_only_sheets_that_are_asked_for_are_staged(spark, tmp_path):
+    asked = spark.createDataFrame([(NAME,)], "entry_file string")
+    _read(spark, tmp_path, {**_three(5), "notes.txt": "x"}, files=asked)
+    staged = spark.read.parquet(str(tmp_path / "scratch/lines"))
+    assert {r[0] for r in staged.select("entry_file").distinct().collect()} == {NAME}
+
+
+def test_one_name_in_two_folders(spark, tmp_path):
+    for k in "ab":
+        (tmp_path / k).mkdir()
+        _folder(tmp_path / k, {NAME: sheet([fish_row(i) for i in range(3)]) + f"only {k}\r\n"})
+    read = src.read_sheets(spark, [str(tmp_path / k) for k in "ab"], str(tmp_path / "scratch"))
+    assert [tuple(r) for r in read.repeated.collect()] == [(NAME, 2)]
+    assert {r["line"] for r in read.lines.filter("line like 'only%'").collect()} == {"only a"}
+    assert read.lines.count() == 18 + 4
+
+
+def test_more_header_lines(spark, tmp_path):
+    text = "season,2021\r\n" + sheet([fish_row(1), fish_row(2)])[1:]
+    read = _read(spark, tmp_path, {NAME: text})
+    headers = parse.parse_sheets(read.lines, header_rows=19)
+    assert headers.first()["header"]["season"] == "2021" and len(headers.first()["names"]) == len(COLUMNS)
+    rows = parse.sheet_rows(read.lines, headers, ["fishNum"], header_rows=19, chunks=read.chunks)
+    assert sorted(r["fishNum"] for r in rows.collect()) == [1.0, 2.0]
+    files = spark.createDataFrame([(NAME,)], "entry_file string")
+    assert src.discover_sheets(files, header_rows=19).first()["name_line"] == 19
+
+
+def test_lines_are_cut_once(spark):
+    numbered = lines(spark, _three(3))
+    parsed = parse.sheet_rows(numbered, parse.parse_sheets(numbered), ["fishNum", "otu", "fishLength"], ["lakeID"][:0])
+    plan = parse.drop_empty_rows(parsed)._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the lines, twice in the header: its lines and the names.
+    assert plan.count("regexp_extract_all") <= 3
 
 
 def test_content_and_files_agree(spark, tmp_path):
     sheets = _three()
-    read = src.read_sheets(spark, _folder(tmp_path, sheets)).lines.select("entry_file", "line_no", "line")
+    read = _read(spark, tmp_path, sheets).lines.select("entry_file", "line_no", "line")
     other = lines(spark, sheets)
     assert read.exceptAll(other).count() == 0 and other.exceptAll(read).count() == 0
 
