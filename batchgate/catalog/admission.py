@@ -84,9 +84,7 @@ union all select 'file', entry_file, n_blocking, n_blocking = 0 from files""",
 )
 def gate_query(spark, sf):
     batch, judged = _judged(spark, sf)
-    files = batch.select("entry_file")
-    modes = [g.gate(files, judged, mode).withColumn("mode", F.lit(mode)) for mode in ("batch", "file")]
-    return modes[0].unionByName(modes[1])
+    return g.decisions(batch.select("entry_file"), judged)
 
 
 @query(

@@ -54,25 +54,29 @@ def blocked_files(judged: DataFrame) -> DataFrame:
     return judged.filter("blocking").select("entry_file").distinct()
 
 
-def gate(files: DataFrame, judged: DataFrame, mode: str = "batch") -> DataFrame:
-    """Decide each file of the batch: ``batch`` rejects all for one blocking violation, ``file`` each alone.
+def decisions(files: DataFrame, judged: DataFrame) -> DataFrame:
+    """Each file of the batch under both modes: ``mode, entry_file, n_blocking, admitted``.
 
-    Returns entry_file, n_blocking, admitted.
+    ``batch`` rejects all for one blocking violation, ``file`` each file alone.  Violations are counted
+    once for both.
     """
-    counts = (
-        judged.filter("blocking").groupBy("entry_file").agg(F.count(F.lit(1)).alias("n_blocking"))
-    )
+    counts = judged.filter("blocking").groupBy("entry_file").agg(F.count(F.lit(1)).alias("n_blocking"))
     names = files.select("entry_file").distinct()
-    per_file = names.join(counts, "entry_file", "left").select(
-        "entry_file", F.coalesce("n_blocking", F.lit(0)).alias("n_blocking")
-    )
-    if mode == "file":
-        return per_file.withColumn("admitted", F.col("n_blocking") == 0)
-    if mode != "batch":
+    per_file = names.join(counts, "entry_file", "left").withColumn("n_blocking", F.coalesce("n_blocking", F.lit(0)))
+    # A blocking violation without a file still rejects the batch, so the total is taken over all counts.
+    total = F.coalesce(counts.agg(F.sum("n_blocking").alias("n")).scalar(), F.lit(0))
+    modes = [
+        F.struct(F.lit(mode).alias("mode"), admitted.alias("admitted"))
+        for mode, admitted in (("batch", total == 0), ("file", F.col("n_blocking") == 0))
+    ]
+    return per_file.select("entry_file", "n_blocking", F.inline(F.array(*modes)))
+
+
+def gate(files: DataFrame, judged: DataFrame, mode: str = "batch") -> DataFrame:
+    """The :func:`decisions` of one mode: entry_file, n_blocking, admitted."""
+    if mode not in ("batch", "file"):
         raise ValueError(f"unknown gate mode: {mode}")
-    # A blocking violation without a file still rejects the batch, so the total is taken over all.
-    total = judged.filter("blocking").agg(F.count(F.lit(1)).alias("n")).scalar()
-    return per_file.withColumn("admitted", total == 0)
+    return decisions(files, judged).filter(F.col("mode") == mode).select("entry_file", "n_blocking", "admitted")
 
 
 def quarantine(rows: DataFrame, judged: DataFrame, entry_file: str = "entry_file") -> DataFrame:

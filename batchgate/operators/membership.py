@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchgate.functions.keys import number_text
-from batchgate.operators.joins import RULE_NO, null_safe_on, splittable_on
+from batchgate.operators.joins import RULE_NO, splittable_on
 from batchgate.operators.violations import VIOLATION_COLUMNS, Rule, as_violations, rule_columns
 
 
@@ -93,10 +93,15 @@ def long_keys(
 
 
 def seen_keys(batch_keys: DataFrame, history_keys: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct history keys that the batch asks for."""
-    asked = batch_keys.select(*columns).distinct()
-    known = history_keys.select(*columns).distinct()
-    return known.join(asked, null_safe_on(known, asked, columns), "left_semi")
+    """Distinct history keys that the batch asks for.
+
+    The key is one struct, null-safe as such, so that the shuffle that makes history distinct also
+    serves the join.
+    """
+    key = F.struct(*columns).alias("key")
+    asked = batch_keys.select(key).distinct()
+    known = history_keys.select(key).distinct()
+    return known.join(asked, "key", "left_semi").select("key.*")
 
 
 def check_keys(
