@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def number_text(c: Column) -> Column:
     """Text of a number, whole numbers without a decimal part."""
-    whole = (c == F.floor(c)) & (F.abs(c) < 1e15)
+    whole = (c == F.floor(c)) & (F.abs(c) < 2.0**63)
     return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 
