@@ -95,7 +95,63 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("contaminated", F.size("item_ids") > 0)
 
 
-@query("op7_licenses")
+_NOTICES = ", ".join(f"('{name}', '{notice}')" for name, notice in licenses.TEMPLATES)
+_TERMS = f"list_distinct(regexp_extract_all(lower(%s), '{licenses.TERM}'))"
+LICENSE_SQL = f"""
+WITH notices (license, notice) AS (VALUES {_NOTICES}),
+known AS (SELECT license, unnest({_TERMS % "notice"}) AS term FROM notices),
+weights AS (SELECT term, ln((1 + {len(licenses.TEMPLATES)})::DOUBLE / (1 + count(*))) + 1 AS w FROM known GROUP BY term),
+templates AS (SELECT license, sqrt(sum(w * w)) AS norm FROM known JOIN weights USING (term) GROUP BY license),
+units AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM documents UNION ALL SELECT doc_id, text, -1 FROM documents
+),
+words AS (SELECT doc_id, place, unnest({_TERMS % "line"}) AS term FROM units),
+sizes AS (
+  SELECT doc_id, place, sqrt(sum(coalesce(w * w, pow(ln(1 + {len(licenses.TEMPLATES)}) + 1, 2)))) AS size
+  FROM words LEFT JOIN weights USING (term) GROUP BY doc_id, place
+),
+dots AS (
+  SELECT doc_id, place, license, sum(w * w) AS dot
+  FROM words JOIN known USING (term) JOIN weights USING (term) GROUP BY doc_id, place, license
+),
+near AS (
+  SELECT doc_id, place, license, round(dot / (size * norm), 6) AS cosine
+  FROM dots JOIN sizes USING (doc_id, place) JOIN templates USING (license)
+),
+own AS (
+  SELECT doc_id, license, cosine, min(place) OVER (PARTITION BY doc_id) <= 0 AS declares
+  FROM near WHERE cosine >= 0.7
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license, place) = 1
+),
+files AS (
+  SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS folder FROM (
+    SELECT doc_id, CASE
+      WHEN doc_id % 16 = 0 THEN concat_ws('/', source, doc_id || '.txt')
+      WHEN doc_id % 4 = 0 THEN concat_ws('/', source, lang, doc_id || '.txt')
+      ELSE concat_ws('/', source, lang, doc_id // 256, doc_id || '.txt') END AS path
+    FROM documents)
+),
+said AS (
+  SELECT folder AS above, license AS given FROM files JOIN own USING (doc_id) WHERE declares
+  QUALIFY row_number() OVER (PARTITION BY folder ORDER BY cosine DESC, license, path) = 1
+),
+up AS (
+  SELECT folder, n, array_to_string(string_split(folder, '/')[1:n], '/') AS above
+  FROM (SELECT folder, unnest(range(len(string_split(folder, '/')) + 1)) AS n FROM (SELECT DISTINCT folder FROM files))
+),
+nearest AS (
+  SELECT folder, above, given FROM up JOIN said USING (above)
+  QUALIFY row_number() OVER (PARTITION BY folder ORDER BY n DESC) = 1
+)
+SELECT f.doc_id, f.path, coalesce(o.license, n.given) AS license, o.cosine,
+  CASE WHEN o.license IS NOT NULL THEN 'own' WHEN n.given IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CASE WHEN o.license IS NULL THEN n.above END AS license_dir
+FROM files f LEFT JOIN own o ON f.doc_id = o.doc_id LEFT JOIN nearest n ON f.folder = n.folder
+"""
+
+
+@query("op7_licenses", LICENSE_SQL)
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of a tree of sources, languages and shelves of 256; some lie higher up in it."""
     docs = table(spark, sf_dir, "documents")

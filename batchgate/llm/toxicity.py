@@ -10,6 +10,7 @@ labels, weighted to the numbers that all labels have.  Everything is predicted i
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -269,7 +270,8 @@ def train(
     truth = np.column_stack([got[c].to_numpy() for c in categories]).astype(np.float64)
     names = [tuple(t) for t in truth.astype(int).tolist()]
     share = {tuple(s[c] for c in categories): s["count"] for s in strata}
-    weight = np.array([share[t] / names.count(t) for t in names]) if len(share) else np.ones(len(names))
+    drawn = Counter(names)
+    weight = np.array([share[t] / drawn[t] for t in names])
     return fit_chain(categories, sets, shares, truth, weight)
 
 
