@@ -40,9 +40,9 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] = ("lakeID", "depthClass")) -> DataFrame:
-    """Type and distinct non-null values, with counts, of each column, in one pass.
+    """Type and distinct non-null values, with counts, of each column, sorted, in one pass.
 
-    Rows are expanded and counted map-side; only distinct values are shuffled.
+    Rows are expanded and counted map-side; only distinct values are shuffled.  Numbers sort as such.
     """
     typed = coerce_known_types(df)
     kinds = dict(typed.dtypes)
@@ -60,4 +60,5 @@ def profile_columns(df: DataFrame, columns: Sequence[str] = ("lakeID", "depthCla
         .filter("value is not null")
         .groupBy("column", "type", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy("column", F.when(~F.col("type").isin("string", "date"), F.col("value").try_cast("double")), "value")
     )
