@@ -21,8 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that a Python worker and the JVM hold at once; texts are long, and some are very long.
+BATCH_ROWS = 256
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Give this library to the session's Python workers, once a session."""
+    """Give this library to the session's Python workers, once a session, and small batches to work on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     _ship(spark, spark.sparkContext.applicationId)
     return spark
 

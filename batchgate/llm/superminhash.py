@@ -19,7 +19,7 @@ _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
 _STEP = np.array([0x9E3779B97F4A7C15], dtype=np.uint64)
 #: Elements handled at once; permutations take ``slots`` times two bytes for each.
-CHUNK = 1 << 15
+CHUNK = 1 << 14
 
 
 def _level(elements: np.ndarray, j: int, slots: int) -> tuple[np.ndarray, np.ndarray]:
