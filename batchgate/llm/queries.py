@@ -169,7 +169,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = winnowing.with_next(table(spark, sf_dir, "documents"))
     rows = rows.withColumn("edited", winnowing.edited(F.col("text"), F.col("next_text")))
-    rows = rows.withColumn("edited_prints", winnowing.fingerprint(F.col("edited")))
+    rows = rows.withColumn("edited_prints", winnowing.code_point_fingerprint(F.col("edited")))
     return rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
