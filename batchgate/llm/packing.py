@@ -118,19 +118,21 @@ def pack(
     quadratic: float = 1.0 / 2048,
     block_tokens: int = 1 << 20,
     remembered: int = 400_000,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most ``size`` tokens.
 
     A null or empty text is the end id alone; a null id is kept; repeated rows are packed each for
     itself; an empty table gives no pieces; other columns are ignored.  Among sequences of equal cost
     the first is taken.  ``remembered`` chunks of text are kept by each worker: fewer take less memory and
-    more time, and change no result.  Sequence ids are unique, not contiguous.  ``docs`` should come from files or a
+    more time, and change no result.  With ``special_tokens`` their strings in a text are those tokens, else
+    ordinary text.  Sequence ids are unique, not contiguous.  ``docs`` should come from files or a
     staged table, so that a task that is run again reads its rows in the same order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = encoder(tokenizer_path, remembered)
+        tokens = encoder(tokenizer_path, remembered, special_tokens)
         end = np.array([end_id], dtype=ID).tobytes()
         packer = Packer(size, block_tokens, linear, quadratic, TaskContext.get().partitionId() << 33)
         for batch in batches:

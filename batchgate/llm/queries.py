@@ -79,7 +79,8 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    model = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(table(spark, sf_dir, "documents"), model, special_tokens=True)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
@@ -192,7 +193,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_binary_records")
 def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = records.write_records(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
-    )
+    model = public_tokenizers.path("word_bpe_49k.json")
+    manifest = records.write_records(table(spark, sf_dir, "documents"), model, special_tokens=True)
     return records.read_records(manifest).withColumn("ids_crc32", F.crc32("ids")).drop("ids")

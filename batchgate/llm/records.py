@@ -92,19 +92,21 @@ def write_records(
     text_col: str = "text",
     end_id: int = 1,
     file_bytes: int = 1 << 28,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """Write all documents in ascending id order; the manifest of files, with each one's first token.
 
     Null ids come first; rows of one id are ordered by their texts' hash; a null or empty text is the end
     id alone; an empty table writes nothing; other columns are ignored.  ``folder`` must be shared by all
-    executors and is created; by default it lies in the cluster's shared folder.
+    executors and is created; by default it lies in the cluster's shared folder.  With ``special_tokens``
+    their strings in a text are those tokens, else ordinary text.
     """
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = encoder(tokenizer_path)
+        tokens = encoder(tokenizer_path, special_tokens=special_tokens)
         width = 2 if tokens.vocabulary_size <= 1 << 16 and end_id < 1 << 16 else 4
         end = np.array([end_id], dtype=ID).tobytes()
         files, path = fs.FileSystem.from_uri(folder)

@@ -4,7 +4,7 @@ Both public tokenizers split a text into words before they merge, and never acro
 between two words; so a text's ids are those of its chunks one after another.  Chunks, and the words in
 them, are kept in bounded memories, and only new words reach the library.  Texts in which that might not
 hold (runs of blanks, other white space, letters that normalising may join or that change with their
-neighbours when lower-cased) are encoded whole.
+neighbours when lower-cased, strings of added tokens that count as such) are encoded whole.
 """
 
 from __future__ import annotations
@@ -48,12 +48,17 @@ class Memory(dict):
 
 
 class TokenEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids."""
+    """Encodes texts to little-endian unsigned 32-bit ids.
 
-    def __init__(self, path: str, chunks: int = 400_000, words: int = 300_000):
+    Strings of special tokens inside a text are ordinary text, or with ``special_tokens`` the ids of those
+    tokens, as the library gives them unless told otherwise.
+    """
+
+    def __init__(self, path: str, chunks: int = 400_000, words: int = 300_000, special_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens inside a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added] if special_tokens else []
         self.byte_level = self.tokenizer.normalizer is None
         self._model = self.tokenizer.model
         self._pattern = regex.compile(BYTE_WORDS if self.byte_level else PLAIN_WORDS)
@@ -71,7 +76,7 @@ class TokenEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if not self._separable(text):
+        if any(t in text for t in self._added) or not self._separable(text):
             return self.whole(text)
         known = self._chunk
         if not self.byte_level:
@@ -111,11 +116,12 @@ class TokenEncoder:
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
 
-_ENCODERS: dict[tuple[str, int], TokenEncoder] = {}
+_ENCODERS: dict[tuple[str, int, bool], TokenEncoder] = {}
 
 
-def encoder(path: str, chunks: int = 400_000) -> TokenEncoder:
+def encoder(path: str, chunks: int = 400_000, special_tokens: bool = False) -> TokenEncoder:
     """One encoder for each Python worker; 400,000 chunks and three quarters as many words take some 350 MB."""
-    if (path, chunks) not in _ENCODERS:
-        _ENCODERS[path, chunks] = TokenEncoder(path, chunks, chunks * 3 // 4)
-    return _ENCODERS[path, chunks]
+    key = path, chunks, special_tokens
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TokenEncoder(path, chunks, chunks * 3 // 4, special_tokens)
+    return _ENCODERS[key]

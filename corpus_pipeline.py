@@ -49,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     ship(spark)
     # Workers still hold what earlier stages took, so this one remembers less than it does alone.
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=100_000)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=100_000, special_tokens=True)
 
 
 STAGES = [
