@@ -93,16 +93,14 @@ def read_sheets(
 ) -> SheetLines:
     """The sheets under ``path``, or those modified after a time; only those are then listed and read.
 
-    ``files`` (entry_file) names the sheets to take: lines of others are dropped in the scan.  Lines
-    are staged under ``scratch``.
+    ``files`` (entry_file) names the sheets to take: lines of others are dropped before the others are
+    staged under ``scratch``.
     """
     reader = spark.read
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
     scan = located(reader.text(path)).filter(is_sheet(F.col("entry_file")))
-    if files is not None:
-        scan = scan.join(files.select("entry_file"), "entry_file", "left_semi")
-    return number_lines(scan, scratch)
+    return number_lines(scan, scratch, files)
 
 
 def located(text: DataFrame) -> DataFrame:
@@ -115,8 +113,8 @@ def located(text: DataFrame) -> DataFrame:
     )
 
 
-def number_lines(scan: DataFrame, scratch: str) -> SheetLines:
-    """Number the lines of a :func:`located` scan.
+def number_lines(scan: DataFrame, scratch: str, files: DataFrame | None = None) -> SheetLines:
+    """Number the lines of a :func:`located` scan, which must not have shuffled them, and keep those of ``files``.
 
     Files are read split by split, so a huge sheet is not one task.  Where a file is cut depends on
     what else is scanned and on the cluster at that moment, so the scan runs once and is staged, and
@@ -129,6 +127,9 @@ def number_lines(scan: DataFrame, scratch: str) -> SheetLines:
     text = text.filter("line <> ''").select(
         "entry_file", "path", "split", "line", F.monotonically_increasing_id().alias("read_order")
     )
+    if files is not None:
+        # Numbered before, as this join may shuffle and sort; a file's lines stay or go together.
+        text = text.join(files.select("entry_file"), "entry_file", "left_semi")
     text = stage(text, f"{scratch}/lines")
 
     splits = text.groupBy("entry_file", "path", "split").agg(
