@@ -15,9 +15,12 @@ from batchgate.llm import (
     line_dedup,
     near_dedup,
     packing,
+    parity_join,
+    periodic_runs,
     records,
     token_counts,
     toxicity,
+    whitening,
     winnowing,
 )
 from batchgate.llm.common import ship, table
@@ -196,3 +199,117 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("word_bpe_49k.json")
     manifest = records.write_records(table(spark, sf_dir, "documents"), model, special_tokens=True)
     return records.read_records(manifest).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+_CRC32 = """
+  SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS bytes"""
+RUN_SQL = f"""
+WITH crc AS ({_CRC32}),
+texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc.bytes[1 + (xor(c, b) & 255)])), 4294967295) AS h
+  FROM documents, crc
+), sized AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g FROM texts),
+parts AS (
+  SELECT doc_id, w, n, h, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p
+  FROM sized
+), words AS (
+  SELECT doc_id, n, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM parts)
+), equal AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS p FROM words x JOIN words y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT doc_id, p, min(i) AS start, count(*) + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM equal)
+  GROUP BY doc_id, p, island HAVING count(*) + p >= greatest(6, 4 * p)
+), runs AS (SELECT doc_id, start, length, min(p) AS period FROM stretches GROUP BY doc_id, start, length),
+best AS (
+  SELECT doc_id, start, length, period FROM runs
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said
+  FROM runs GROUP BY doc_id
+), dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) FILTER (WHERE d.i IS NULL) AS text
+  FROM words w LEFT JOIN dropped d ON w.doc_id = d.doc_id AND w.i = d.i GROUP BY w.doc_id
+)
+SELECT s.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM sized s LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Documents, a tenth of which, by their ids, repeat some of their words up to the end."""
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
+    rows = docs.select("doc_id", "text", words.alias("w"), F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    rows = rows.withColumn("g", F.floor(F.col("h") / 10)).withColumn("n", F.size("w"))
+    rows = rows.withColumn("a", F.expr("cast(g % nullif(n, 0) as int)"))
+    rows = rows.withColumn("p", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)"))
+    turned = "concat(slice(w, 1, a), transform(sequence(a, n - 1), i -> w[a + (i - a) % p]))"
+    turned = F.expr(f"case when h % 10 = 0 and n > 0 then array_join({turned}, ' ') else text end")
+    return rows.select("doc_id", turned.alias("text"))
+
+
+@query("op11_periodic_runs", RUN_SQL)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_with_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))
+    said = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    said = F.concat(F.array_join(said, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    found = found.withColumn("best", longest["run"])
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}") for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(said, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+LINK_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM words
+), elements AS (SELECT doc_id, len(s) AS n, unnest(s) AS e FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM elements a JOIN elements b
+  ON a.e = b.e AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM sets UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id WHERE r.root < l.b
+)
+SELECT s.doc_id, len(s) AS n_shingles, r.root AS component_id
+FROM sets s JOIN (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id) r ON r.doc_id = s.doc_id
+"""
+
+
+@query("op12_similar_sets", LINK_SQL)
+def op12_similar_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.linked(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), 32, whitening.Grid(64.0, 1_000_000))
+    rows = found.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
