@@ -161,7 +161,7 @@ def fit(
         if held is not None:
             yield _stated(TaskContext.get().partitionId(), held)
 
-    def merge(key: tuple, group: pa.Table) -> pa.Table:
+    def merge(key: tuple[pa.Scalar], group: pa.Table) -> pa.Table:
         # At most ``fan`` matrices.
         rows = sorted(group.to_pylist(), key=lambda row: row["part"])
         held = _read(rows[0]["n"], rows[0]["total"], rows[0]["r"])
@@ -174,7 +174,7 @@ def fit(
     if last is None:
         return None
     while last > 0:
-        merged = parts.groupBy(F.floor(F.col("part") / fan).alias("part")).applyInArrow(merge, MOMENTS)
+        merged = parts.groupBy(F.floor(F.col("part") / fan).alias("merged")).applyInArrow(merge, MOMENTS)
         parts, last = stage(merged, "moments"), last // fan
     row = parts.first()
     m = _read(row["n"], row["total"], row["r"])
