@@ -146,19 +146,31 @@ def fresh_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="batchgate-sheets-")
 
 
+#: Orders, by their keys, whose lines one sheet file may hold: a file is written by one task.
+FILLED_ORDERS, MONTH_ORDERS = 50_000, 1_000_000
+FILE_SQL = f"""case when o_orderstatus = 'F' then 'filled' || (o_orderkey // {FILLED_ORDERS}) || '_1990-01-01_0000.csv'
+    else 'm' || (o_orderkey // {MONTH_ORDERS}) || '_' || strftime(o_orderdate, '%Y-%m') || '-01_0000.csv' end"""
+
+
 def sheet_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """Write a sheet file for each month of orders, and one for all filled orders; ``entry_file, lines``.
+    """Write sheet files of filled orders, which have half of all lines, and of each month; ``entry_file, lines``.
 
-    These sheets have 18 lines of keys.  A file is written by one task, line by line.
+    These sheets have 18 lines of keys, and some comments of two or three lines.  A file is written by
+    one task, line by line, and holds a bounded number of orders.
     """
     keys = ["season", *HEADER_KEYS]
-    head = "".join(f"{k},{k[:3]}\r\n" for k in keys) + "fishNum,species,fishLength,fishWeight\r\n"
+    head = "".join(f"{k},{k[:3]}\r\n" for k in keys) + "fishNum,species,fishLength,fishWeight,comments\r\n"
     o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    month = F.concat(F.lit("m_"), F.substring(F.col("o_orderdate").cast("string"), 1, 7), F.lit("-01_0000.csv"))
-    name = F.when(F.col("o_orderstatus") == "F", F.lit("filled_1990-01-01_0000.csv")).otherwise(month)
+    key, month = F.col("o_orderkey"), F.substring(F.col("o_orderdate").cast("string"), 1, 7)
+    filled = F.concat(F.lit("filled"), F.expr(f"o_orderkey div {FILLED_ORDERS}"), F.lit("_1990-01-01_0000.csv"))
+    other = F.concat(F.lit("m"), F.expr(f"o_orderkey div {MONTH_ORDERS}"), F.lit("_"), month, F.lit("-01_0000.csv"))
     cells = [F.col(c).cast("string") for c in ("l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice")]
-    rows = o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        name.alias("entry_file"), F.concat(F.concat_ws(",", *cells), F.lit("\r\n")).alias("line")
+    comment = F.when(
+        F.col("l_tax") == 0.04, F.concat(F.lit('"kept by\r\n'), F.col("l_suppkey").cast("string"), F.lit(', ""late"""'))
+    ).when(F.col("l_tax") == 0.02, F.lit('"first\r\n\r\nthird"'))
+    line = F.concat(F.concat_ws(",", *cells, F.coalesce(comment, F.lit(""))), F.lit("\r\n"))
+    rows = o.join(l, key == F.col("l_orderkey")).select(
+        F.when(F.col("o_orderstatus") == "F", filled).otherwise(other).alias("entry_file"), line.alias("line")
     )
 
     def write(batches):

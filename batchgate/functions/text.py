@@ -62,6 +62,11 @@ def collapse_code(c: Column, pattern: str, code: str) -> Column:
     return F.when(c.rlike(pattern), F.lit(code)).otherwise(c)
 
 
+def unbalanced_quotes(line: Column) -> Column:
+    """A quote that opens and does not close: part of a cell with line breaks, or damage."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
 def pad_left(c: Column, width: int, pad: str = "0") -> Column:
     """Left-pad without ever truncating longer text (``lpad`` alone would cut it)."""
     return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, pad))

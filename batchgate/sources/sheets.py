@@ -2,7 +2,8 @@
 
 A sheet is text: some key/value lines, one line of column names, then data lines.  Everything
 downstream takes lines ``(entry_file, line_no, line)``, so files, streams and lines that Spark
-derives from other tables share one code path.  File names identify sheets.
+derives from other tables share one code path.  A line that holds line breaks, all inside quoted
+cells, is still one line there.  File names identify sheets.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from batchgate.functions.text import unbalanced_quotes
 from batchgate.session import stage
+from batchgate.sources.quoted import records_of, whole_records
 
 # File names of sheets, and the mark of a trap sheet.
 SHEET_PATTERN = r"[0-9]{4}-[0-9]{2}-[0-9]{2}_[0-9]{4}\.csv|minnowtrap"
@@ -72,7 +75,8 @@ def unmatched_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
 class SheetLines:
     """Numbered lines of many sheets.
 
-    ``lines`` has entry_file, line_no, line; blank lines are left out and not counted.  Where ``chunks``
+    ``lines`` has entry_file, line_no, line; blank lines are left out and not counted, and lines that a
+    quoted cell joins are one.  Where ``chunks``
     is given, lines also have a ``chunk``, a part of the sheet of bounded size, and ``chunks``
     (entry_file, chunk) lists all but the first, 0: joins can then use the chunk as a second key, so a
     huge sheet is never one group.  ``repeated`` (entry_file, paths) has the names that several files
@@ -114,49 +118,68 @@ def located(text: DataFrame) -> DataFrame:
 
 
 def number_lines(scan: DataFrame, scratch: str, files: DataFrame | None = None) -> SheetLines:
-    """Number the lines of a :func:`located` scan, which must not have shuffled them, and keep those of ``files``.
+    """Number the records of a :func:`located` scan, which must not have shuffled them, and keep those of ``files``.
 
     Files are read split by split, so a huge sheet is not one task.  Where a file is cut depends on
     what else is scanned and on the cluster at that moment, so the scan runs once and is staged, and
     all that follows sees the same splits.  Each task numbers the lines that it reads; a line's number
     in its split is the difference to the split's first, which is a minimum, so nothing is sorted and
     no split or compressed file has to be one group.
+
+    In most files each line is a record.  Those with line breaks inside quoted cells, or with blank lines
+    before others, are found by counting both in each split; only their lines are put together by
+    :func:`whole_records`.
     """
     line = F.rtrim(F.col("value"), F.lit("\r"))
     text = scan.withColumn("line", F.when(F.col("split") == 0, F.ltrim(line, F.lit(_BOM))).otherwise(line))
-    text = text.filter("line <> ''").select(
-        "entry_file", "path", "split", "line", F.monotonically_increasing_id().alias("read_order")
-    )
+    text = text.select("entry_file", "path", "split", "line", F.monotonically_increasing_id().alias("read_order"))
     if files is not None:
         # Numbered before, as this join may shuffle and sort; a file's lines stay or go together.
         text = text.join(files.select("entry_file"), "entry_file", "left_semi")
     text = stage(text, f"{scratch}/lines")
 
+    filled = F.when(F.col("line") != "", F.col("read_order"))
     splits = text.groupBy("entry_file", "path", "split").agg(
-        F.min("read_order").alias("first"), F.count(F.lit(1)).alias("n")
+        F.min("read_order").alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        F.count(filled).alias("n_filled"),
+        F.max(filled).alias("last_filled"),
+        F.max(unbalanced_quotes(F.col("line"))).alias("odd_quotes"),
     )
     splits = stage(splits, f"{scratch}/splits")
     paths = splits.groupBy("entry_file").agg(F.min("path").alias("path"), F.count_distinct("path").alias("paths"))
     repeated = paths.filter("paths > 1").select("entry_file", "paths")
     splits = splits.join(paths.select("entry_file", "path"), ["entry_file", "path"], "left_semi")
     # The splits of one file.
-    earlier = Window.partitionBy("entry_file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    bases = splits.select("path", "split", (offset + 1 - F.col("first")).alias("base"))
-
-    line_no = F.col("read_order") + F.col("base")
-    lines = text.join(bases, ["path", "split"]).select(
-        "entry_file", F.floor(line_no / CHUNK_LINES).alias("chunk"), line_no.alias("line_no"), "line"
+    file = Window.partitionBy("entry_file").orderBy("split")
+    offset = F.coalesce(F.sum("n").over(file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    filled_later = F.coalesce(F.sum("n_filled").over(file.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)) > 0
+    blank_between = F.when(filled_later, F.col("n_filled") < F.col("n")).otherwise(
+        F.col("last_filled") - F.col("first") + 1 > F.col("n_filled")
+    )
+    broken = F.max(F.col("odd_quotes") | F.coalesce("blank_between", F.lit(False)))
+    bases = (
+        splits.withColumn("base", offset + 1 - F.col("first"))
+        .withColumn("blank_between", blank_between)
+        .select("entry_file", "path", "split", "n", "base", broken.over(Window.partitionBy("entry_file")).alias("broken"))
     )
-    sizes = splits.groupBy("entry_file").agg(F.floor(F.sum("n") / CHUNK_LINES).alias("last")).filter("last > 0")
+    bases = stage(bases, f"{scratch}/bases")
+
+    numbered = text.join(bases.select("path", "split", "base", "broken"), ["path", "split"])
+    numbered = numbered.select("entry_file", (F.col("read_order") + F.col("base")).alias("line_no"), "line", "broken")
+    lines = numbered.filter(~F.col("broken") & (F.col("line") != "")).drop("broken")
+    if not bases.filter("broken").isEmpty():
+        lines = lines.unionByName(whole_records(numbered.filter("broken").drop("broken"), scratch, CHUNK_LINES))
+    lines = lines.select("entry_file", F.floor(F.col("line_no") / CHUNK_LINES).alias("chunk"), "line_no", "line")
+    # No sheet has more records than lines.
+    sizes = bases.groupBy("entry_file").agg(F.floor(F.sum("n") / CHUNK_LINES).alias("last")).filter("last > 0")
     chunks = sizes.select("entry_file", F.explode(F.sequence(F.lit(1).cast("bigint"), "last")).alias("chunk"))
     return SheetLines(lines, chunks, repeated)
 
 
 def lines_of(contents: DataFrame) -> DataFrame:
-    """Numbered lines ``(entry_file, line_no, line)`` of a table ``(entry_file, content)`` of sheet texts."""
-    text = F.ltrim(F.col("content"), F.lit(_BOM))
-    kept = F.filter(F.split(text, r"\r\n|\r|\n"), lambda x: x != "")
+    """Numbered records ``(entry_file, line_no, line)`` of a table ``(entry_file, content)`` of sheet texts."""
+    kept = records_of(F.ltrim(F.col("content"), F.lit(_BOM)))
     return contents.select("entry_file", F.posexplode(kept).alias("pos", "line")).select(
         "entry_file", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line"
     )
