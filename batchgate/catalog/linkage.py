@@ -126,16 +126,15 @@ _GROWTH = (
 )
 
 
-def _grown(spark, sf):
+def _parameters():
     first = F.col("recap_lake") == "L0"
+    return [F.when(first, a).otherwise(b) for a, b in ((376.909, 550.0), (0.32, 0.19), (-0.599, -0.024))]
+
+
+def _grown(spark, sf):
     recaptures = event_recaptures(spark, sf)
-    return k.growth_expectation(
-        recaptures,
-        k.only_asked(k.latest_apply(event_applies(spark, sf)), recaptures),
-        linf=F.when(first, 376.909).otherwise(550.0),
-        k=F.when(first, 0.32).otherwise(0.19),
-        t0=F.when(first, -0.599).otherwise(-0.024),
-    )
+    latest = k.only_asked(k.latest_apply(event_applies(spark, sf)), recaptures)
+    return k.growth_expectation(recaptures, latest, *_parameters())
 
 
 @query("q_growth_expected", _GROWTH + "select recap_id, recap_tag, round(expected, 4) as expected from grown")
@@ -151,6 +150,47 @@ def growth_check(spark, sf):
     return k.check_growth(_grown(spark, sf)).select("entity", F.col("value").cast("double").alias("value"))
 
 
+_ASOF = (
+    _APPLIES
+    + """, paired as (select r.fish_id as recap_id, r.tag as recap_tag, r.species, r.lake, r.tag_type, r.ts, r.value as recap_length,
+    a.fish_id as apply_id, a.apply_date, a.source, a.species as apply_species, a.lake as apply_lake, a.value as apply_length,
+    a.tag_type as apply_type, exists (select 1 from applies x where x.tag = r.tag) as applied
+  from recaps r left join applies a on a.tag = r.tag and a.apply_date <= cast(r.ts as date)
+  qualify row_number() over (partition by r.fish_id order by a.apply_date desc nulls last, a.source desc, a.fish_id desc) = 1)
+"""
+)
+
+
+@query(
+    "q_tag_asof",
+    _ASOF
+    + """select recap_id, recap_tag, apply_id, strftime(apply_date, '%Y-%m-%d') as apply_date,
+  case when apply_id is null and applied then 'applied later' when apply_id is null then 'never applied'
+       when species = apply_species and lake = apply_lake then 'none'
+       when species <> apply_species and lake <> apply_lake then 'wrong species, wrong lake'
+       when lake = apply_lake then 'right lake, wrong species' else 'right species, wrong lake' end as problem,
+  coalesce(tag_type <> apply_type, false) as type_differs from paired""",
+)
+def tag_asof(spark, sf):
+    linked = k.link_recaptures_asof(event_recaptures(spark, sf), event_applies(spark, sf))
+    return linked.select(
+        "recap_id", "recap_tag", "apply_id", F.col("apply_date").cast("string").alias("apply_date"), "problem", "type_differs"
+    )
+
+
+@query(
+    "q_growth_asof",
+    _ASOF
+    + """select recap_id, recap_tag, apply_id, round(p.linf * (1 - exp(-p.k * (case when apply_length < p.linf
+    then ln(1 - apply_length / p.linf) end / (-p.k) + p.t0 + (cast(ts as date) - apply_date) / 365.0 - p.t0))), 4) as expected
+from paired join (values ('L0', 376.909, 0.32, -0.599), ('L1', 550.0, 0.19, -0.024), ('L2', 550.0, 0.19, -0.024)) as p(lake, linf, k, t0)
+  on p.lake = paired.lake where apply_id is not null""",
+)
+def growth_asof(spark, sf):
+    grown = k.growth_expectation_asof(event_recaptures(spark, sf), event_applies(spark, sf), *_parameters())
+    return grown.select("recap_id", "recap_tag", "apply_id", F.round("expected", 4).alias("expected"))
+
+
 _FORMAT = r"^[0-9]{2}-[0-4]$"
 
 

@@ -33,6 +33,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--overrides", help="Parquet table (rule, entry_file, reason)")
     p.add_argument("--modified-after", help="only files changed after this time")
     p.add_argument("--growth", action="store_true", help="also test growth since tagging")
+    p.add_argument("--tags-as-of", action="store_true", help="compare recaptures with the latest apply up to their day")
+    p.add_argument("--tag-placeholders", nargs="*", default=[], metavar="TEXT", help="texts that stand for an unreadable tag")
+    p.add_argument("--timestamp-formats", nargs="*", default=[], metavar="FORMAT", help="further formats of times in headers")
+    p.add_argument("--retired-projects", nargs="*", type=int, default=list(fish.RETIRED_PROJECTS), metavar="ID")
     p.add_argument("--pit-pattern")
     p.add_argument("--floy-pattern")
     p.add_argument("--header-rows", type=int, default=HEADER_ROWS, help="lines up to the column names of regular sheets")
@@ -56,6 +60,10 @@ def main(argv: list[str] | None = None) -> int:
         overrides=spark.read.schema(OVERRIDE_SCHEMA).parquet(args.overrides) if args.overrides else None,
         options=fish.Options(
             growth=args.growth,
+            tags_as_of=args.tags_as_of,
+            tag_placeholders=tuple(args.tag_placeholders),
+            timestamp_formats=tuple(args.timestamp_formats),
+            retired_projects=tuple(args.retired_projects),
             pit_pattern=args.pit_pattern,
             floy_pattern=args.floy_pattern,
             header_rows=args.header_rows,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchgate.functions.growth import expected_length
@@ -82,17 +82,56 @@ def latest_apply(applies: DataFrame) -> DataFrame:
     return last.select("tag", "a.apply_date", "a.source", "a.apply_id", "a.apply_length", "a.apply_species")
 
 
-def link_recaptures(recaptures: DataFrame, registry: DataFrame) -> DataFrame:
-    """Each recapture with its registry row, and its class.
+# Days of applies and recaptures that have no date: before all others, after all others.
+_NO_APPLY_DAY, _NO_RECAP_DAY = "0001-01-01", "9999-12-31"
 
-    ``recaptures`` has recap_id, recap_type, recap_tag, recap_species, recap_lake, entry_file.
-    One left join serves the type test, the classes and their explanation.
+
+def asof_applies(recaptures: DataFrame, applies: DataFrame) -> DataFrame:
+    """Each recapture with the latest apply of its tag that is not after its day.
+
+    ``applies`` has tag, apply_date, source, apply_id and more; ``recaptures`` has recap_tag, recap_date
+    and more.  Of one day the highest source and id counts, and an apply on the day of the recapture is
+    not after it.  An apply without a date counts as earlier than all, a recapture without one as later.
+    ``tag`` is null where there is no such apply; ``applied`` says whether the tag has any at all.
+
+    Applies are reduced to the last one of each tag and day, map-side first, and recaptures to the days
+    they ask for.  The running last value then goes over days, not rows: a tag with a third of all rows
+    is a group of at most two rows for each day.  Recaptures join their (tag, day), which can be split.
     """
-    joined = recaptures.join(registry, splittable_on([recaptures["recap_tag"]], [registry["tag"]]), "left")
+    detail = [c for c in applies.columns if c not in ("tag", "source", "apply_id")]
+    last = F.max(F.struct("source", "apply_id", *detail)).alias("apply")
+    day = F.coalesce("apply_date", F.lit(_NO_APPLY_DAY).cast("date"))
+    per_day = only_asked(applies.withColumn("day", day).groupBy("tag", "day").agg(last), recaptures)
+    dated = recaptures.withColumn("recap_day", F.coalesce("recap_date", F.lit(_NO_RECAP_DAY).cast("date")))
+    asked = dated.select(F.col("recap_tag").alias("tag"), F.col("recap_day").alias("day")).distinct()
+    nothing = F.lit(None).cast(per_day.schema["apply"].dataType).alias("apply")
+    days = per_day.select("tag", "day", F.lit(False).alias("asked"), "apply").unionByName(
+        asked.select("tag", "day", F.lit(True).alias("asked"), nothing)
+    )
+    # Applies of a day come before recaptures of the same day.
+    until = Window.partitionBy("tag").orderBy("day", "asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = days.select(
+        F.col("tag").alias("day_tag"),
+        "day",
+        "asked",
+        F.last("apply", ignorenulls=True).over(until).alias("apply"),
+        (F.count("apply").over(Window.partitionBy("tag")) > 0).alias("applied"),
+    ).filter("asked")
+    on = splittable_on([dated["recap_tag"], dated["recap_day"]], [days["day_tag"], days["day"]])
+    return dated.join(days, on, "left").select(
+        *recaptures.columns,
+        F.when(F.col("apply").isNotNull(), F.col("recap_tag")).alias("tag"),
+        *[F.col("apply")[c].alias(c) for c in applies.columns if c != "tag"],
+        F.coalesce("applied", F.lit(False)).alias("applied"),
+    )
+
+
+def _classified(joined: DataFrame, absent: Column) -> DataFrame:
+    """The class of each recapture, ``absent`` where it has no apply, and whether the types differ."""
     same_species = F.col("recap_species").eqNullSafe(F.col("apply_species"))
     same_lake = F.col("recap_lake").eqNullSafe(F.col("apply_lake"))
     problem = (
-        F.when(F.col("tag").isNull(), "never applied")
+        F.when(F.col("tag").isNull(), absent)
         .when(same_species & same_lake, "none")
         .when(~same_species & ~same_lake, "wrong species, wrong lake")
         .when(same_lake, "right lake, wrong species")
@@ -103,6 +142,25 @@ def link_recaptures(recaptures: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def link_recaptures(recaptures: DataFrame, registry: DataFrame) -> DataFrame:
+    """Each recapture with its registry row, and its class.
+
+    ``recaptures`` has recap_id, recap_type, recap_tag, recap_species, recap_lake, entry_file.
+    One left join serves the type test, the classes and their explanation.
+    """
+    joined = recaptures.join(registry, splittable_on([recaptures["recap_tag"]], [registry["tag"]]), "left")
+    return _classified(joined, F.lit("never applied"))
+
+
+def link_recaptures_asof(recaptures: DataFrame, applies: DataFrame) -> DataFrame:
+    """As :func:`link_recaptures`, with the latest apply up to the day of the recapture (:func:`asof_applies`).
+
+    A tag that is only applied later is a class of its own.
+    """
+    absent = F.when(F.col("applied"), "applied later").otherwise("never applied")
+    return _classified(asof_applies(recaptures, applies), absent)
+
+
 # Which forces release which problem; a tag wrong in both ways needs both.
 TAG_RULES = {
     "type": Rule("tag_type", 0, force_keys=("tagRecapType",)),
@@ -110,6 +168,7 @@ TAG_RULES = {
     "right lake, wrong species": Rule("tag_wrong_species", 2, force_keys=("tagRecapSpecies",)),
     "right species, wrong lake": Rule("tag_wrong_lake", 3, force_keys=("tagRecapLake",)),
     "wrong species, wrong lake": Rule("tag_wrong_both", 4, force_keys=("tagRecapSpecies", "tagRecapLake")),
+    "applied later": Rule("tag_applied_later", 5, force_keys=("tagRecap",)),
 }
 
 
@@ -149,6 +208,24 @@ def growth_expectation(
     ``recaptures`` has recap_tag, recap_date, recap_length.
     """
     paired = recaptures.join(latest, splittable_on([recaptures["recap_tag"]], [latest["tag"]]), "inner")
+    return expected_growth(paired, linf, k, t0, start_length_col)
+
+
+def growth_expectation_asof(
+    recaptures: DataFrame,
+    applies: DataFrame,
+    linf: Column,
+    k: Column,
+    t0: Column,
+    start_length_col: str = "apply_length",
+) -> DataFrame:
+    """As :func:`growth_expectation`, from the latest measured apply up to the day of the recapture."""
+    measured = applies.filter(F.col(start_length_col).isNotNull())
+    return expected_growth(asof_applies(recaptures, measured).filter("tag is not null"), linf, k, t0, start_length_col)
+
+
+def expected_growth(paired: DataFrame, linf: Column, k: Column, t0: Column, start_length_col: str) -> DataFrame:
+    """The length expected on recap_date of a fish that had its start length on apply_date."""
     days = F.datediff(F.col("recap_date"), F.col("apply_date")).cast("double")
     return paired.withColumn("expected", expected_length(F.col(start_length_col), days, linf, k, t0))
 

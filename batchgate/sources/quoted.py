@@ -88,4 +88,4 @@ def whole_records(lines: DataFrame, scratch: str, chunk_lines: int) -> DataFrame
     whole = records.join(texts, on, "left").select(
         "entry_file", F.col("record_no").alias("line_no"), F.coalesce("text", "line").alias("line")
     )
-    return stage(whole, f"{scratch}/records")
+    return stage(whole, f"{scratch}/whole")

@@ -177,6 +177,11 @@ def number_lines(scan: DataFrame, scratch: str, files: DataFrame | None = None)
     return SheetLines(lines, chunks, repeated)
 
 
+def line_tables(scratch: str) -> list[str]:
+    """What :func:`number_lines` stages."""
+    return [f"{scratch}/{name}" for name in ("lines", "splits", "bases", "marked", "told", "whole")]
+
+
 def lines_of(contents: DataFrame) -> DataFrame:
     """Numbered records ``(entry_file, line_no, line)`` of a table ``(entry_file, content)`` of sheet texts."""
     kept = records_of(F.ltrim(F.col("content"), F.lit(_BOM)))

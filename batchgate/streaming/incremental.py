@@ -16,9 +16,9 @@ from batchgate.operators.joins import splittable_on
 from batchgate.operators.violations import as_violations
 from batchgate.plans import fish
 from batchgate.plans.admit import LINE_SCHEMA, QUARANTINE, SAMPLES, BatchConfig, BatchResult, run_batch
-from batchgate.session import scratch_root
+from batchgate.session import drop_staged, scratch_root
 from batchgate.sources.accumulators import load_or_init
-from batchgate.sources.sheets import is_sheet, located, number_lines
+from batchgate.sources.sheets import is_sheet, line_tables, located, number_lines
 
 
 def sheet_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -50,11 +50,12 @@ def run_incremental(
             value=F.col("entry_file"),
             entry_file=F.col("entry_file"),
         )
-        # The epoch names the batch: a retried epoch overwrites its own folders.
+        # The epoch names the batch: a retried epoch is a new attempt at the same one.
         batch = f"{prefix}-{epoch:08d}"
         spark = scan.sparkSession
-        sheets = number_lines(scan.filter(sheet), f"{scratch_root(spark, config.root)}/{batch}")
-        run_batch(spark, sheets, config, batch, extra=[others])
+        scratch = f"{scratch_root(spark, config.root)}/{batch}"
+        run_batch(spark, number_lines(scan.filter(sheet), scratch), config, batch, extra=[others])
+        drop_staged(spark, line_tables(scratch))
 
     query = (
         sheet_stream(spark, path, max_files)

@@ -1,0 +1,170 @@
+"""Batches become visible as a whole, and recaptures meet the applies before them."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from batchgate.operators import linkage
+from batchgate.plans import admit, fish
+from batchgate.plans.admit import BatchConfig, run_batch
+from batchgate.session import scratch_root
+from batchgate.sources import accumulators as acc
+from sheetkit import NAME, fish_row, lines, reference, rules_found, sheet
+
+SCHEMA = fish.SAMPLE_SCHEMA
+
+
+def _season(spark, root, name, schema):
+    return acc.load_or_init(spark, root, name, schema)
+
+
+class _Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["append_batch", "commit_batch"])
+def test_a_batch_that_dies_is_seen_by_nobody(spark, tmp_path, monkeypatch, step):
+    config = BatchConfig(reference(spark), str(tmp_path / "season"))
+    text = sheet([fish_row(1, pitApply="N1", otolithSample=1)])
+    real = getattr(admit, step)
+
+    def dies(*args, **more):
+        if step == "commit_batch" or args[2] == admit.SAMPLES:
+            raise _Died
+        return real(*args, **more)
+
+    monkeypatch.setattr(admit, step, dies)
+    with pytest.raises(_Died):
+        run_batch(spark, lines(spark, {NAME: text}), config, "a")
+    monkeypatch.setattr(admit, step, real)
+    # Its records are written, but are no history of another batch with the same keys and tags.
+    assert os.path.isdir(f"{config.root}/records/batch_id=a")
+    for name, schema in (("records", fish.RECORD_SCHEMA), ("violations", admit.JUDGED_SCHEMA), *fish.LOG_SCHEMAS.items()):
+        assert _season(spark, config.root, name, schema).count() == 0
+    other = run_batch(spark, lines(spark, {"b_2021-06-03_1126.csv": text}), config, "b")
+    assert rules_found(other.violations) == []
+    assert _season(spark, config.root, "otolith_log", fish.LOG_SCHEMAS["otolith_log"]).count() == 1
+    # Run again, the first one now repeats what the second has.
+    again = run_batch(spark, lines(spark, {NAME: text}), config, "a")
+    assert "season_fishID" in rules_found(again.violations)
+    assert {r["batch_id"] for r in _season(spark, config.root, "records", fish.RECORD_SCHEMA).collect()} == {"b"}
+
+
+def test_the_last_commit_of_a_batch_counts(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([(f"s{i}",) for i in range(4)], "sampleID string")
+    for n, ids in enumerate((["s0", "s1"], ["s2"], ["s3"])):
+        attempt = acc.new_attempt()
+        acc.append_batch(rows.filter(F.col("sampleID").isin(*ids)), root, "samples", "x", SCHEMA, attempt)
+        seen = {r["sampleID"] for r in _season(spark, root, "samples", SCHEMA).collect()}
+        assert seen == (set() if n == 0 else {"s0", "s1"})
+        mine = acc.read_attempt(spark, root, "samples", SCHEMA, "x", attempt)
+        assert {r["sampleID"] for r in mine.collect()} == set(ids)
+        if n != 1:
+            acc.commit_batch(spark, root, "x", attempt)
+    assert [(r["sampleID"], r["batch_id"]) for r in _season(spark, root, "samples", SCHEMA).collect()] == [("s3", "x")]
+    assert acc.expire_attempts(spark, root, ["samples", "records"]) == 2
+    assert acc.expire_attempts(spark, root, ["samples"]) == 0
+    assert [r["sampleID"] for r in _season(spark, root, "samples", SCHEMA).collect()] == ["s3"]
+
+
+def test_kinds_are_written_by_one_job(spark, tmp_path):
+    schemas = {"otolith_log": fish.LOG_SCHEMAS["otolith_log"], "diet_log": fish.LOG_SCHEMAS["diet_log"]}
+    rows = spark.createDataFrame(
+        [("otolith_log", 1.0, "f1", None), ("diet_log", 2.0, "f2", "LMB"), ("diet_log", 3.0, "f3", None)],
+        "kind string, fishNum double, fishID string, otu string",
+    )
+    acc.append_kinds(rows, str(tmp_path), "x", schemas, "a1")
+    acc.commit_batch(spark, str(tmp_path), "x", "a1")
+    for name, schema in schemas.items():
+        got = _season(spark, str(tmp_path), name, schema)
+        assert got.columns == [*schema.fieldNames(), "batch_id"]
+        want = {r["fishID"] for r in rows.filter(F.col("kind") == name).collect()}
+        assert {r["fishID"] for r in got.collect()} == want
+    assert _season(spark, str(tmp_path), "spine_log", fish.LOG_SCHEMAS["spine_log"]).count() == 0
+
+
+def test_staged_tables_go_with_the_batch(spark, tmp_path):
+    config = BatchConfig(reference(spark), str(tmp_path / "season"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / NAME).write_bytes(sheet([fish_row(1, clipApply="a\nb")]).encode())
+    result = admit.admit_folder(spark, str(tmp_path / "in"), config, "b1")
+    left = set(os.listdir(f"{scratch_root(spark, config.root)}/b1"))
+    assert left == {"decision", "pending"}
+    assert result.admitted.count() == 1 and result.violations.count() >= 1
+
+
+# As-of matches.
+
+APPLIES = "tag string, apply_date date, source int, apply_id string, apply_type string, apply_species string, apply_lake string, apply_length double"
+RECAPS = "recap_id string, recap_type string, recap_tag string, recap_species string, recap_lake string, recap_date date, recap_length double, entry_file string"
+
+
+def _day(n):
+    return None if n is None else dt.date(2021, 1, 1) + dt.timedelta(n)
+
+
+def _plain(recap, applies):
+    """The last apply up to the day, found by looking at all of the tag."""
+    mine = [a for a in applies if a[0] == recap[2]]
+    day = recap[5] or dt.date.max
+    fit = [a for a in mine if (a[1] or dt.date.min) <= day]
+    best = max(fit, key=lambda a: (a[1] or dt.date.min, a[2], a[3]), default=None)
+    return (best[3] if best else None), bool(mine)
+
+
+def test_asof_applies_against_plain_code(spark):
+    rng = random.Random(3)
+    applies = [
+        (f"t{rng.randrange(12)}", _day(rng.choice([None, *range(30)])), rng.randrange(3), f"a{i:03d}", "pit", "s", "l", None)
+        for i in range(150)
+    ]
+    recaps = [
+        (f"r{i:03d}", "pit", f"t{rng.randrange(15)}", "s", "l", _day(rng.choice([None, *range(-5, 35)])), None, "f")
+        for i in range(200)
+    ]
+    got = linkage.asof_applies(spark.createDataFrame(recaps, RECAPS), spark.createDataFrame(applies, APPLIES)).collect()
+    assert len(got) == len(recaps)
+    assert {r["recap_id"]: (r["apply_id"], r["applied"]) for r in got} == {r[0]: _plain(r, applies) for r in recaps}
+    assert all((r["tag"] is None) == (r["apply_id"] is None) for r in got)
+
+
+def test_asof_groups_are_days_not_rows(spark):
+    """A tag with most rows goes through the window as its days, and its recaptures join where they can be split."""
+    applies = spark.range(3000).select(
+        F.lit("hot").alias("tag"), F.expr("date_add(date'2021-01-01', cast(id % 7 as int))").alias("apply_date"),
+        F.lit(0).alias("source"), F.col("id").cast("string").alias("apply_id"), F.lit("pit").alias("apply_type"),
+        F.lit("s").alias("apply_species"), F.lit("l").alias("apply_lake"),
+    )
+    recaps = spark.range(3000).select(
+        F.col("id").cast("string").alias("recap_id"), F.lit("hot").alias("recap_tag"),
+        F.expr("date_add(date'2021-01-01', cast(id % 9 as int))").alias("recap_date"),
+    )
+    linked = linkage.asof_applies(recaps, applies)
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Aggregate")
+    got = linked.groupBy("recap_date").agg(F.max("apply_date").alias("d"), F.count("*").alias("n")).collect()
+    assert {(r["recap_date"], r["d"]) for r in got} == {(_day(i), _day(min(i, 6))) for i in range(9)}
+
+
+def test_admission_as_of(spark, tmp_path):
+    """A tag whose first apply is later than the recapture, and one that another fish had before."""
+    old = {"fishID": "WL_DeepHole_20300601_1000_AN_Angling.20200601_900", "otu": "largemouth_bass", "pitApply": "LATE"}
+    twice = [
+        {"fishID": f"WL_DeepHole_{day}_1000_AN_Angling.20200601_90{n}", "otu": otu, "pitApply": "TWICE"}
+        for n, (day, otu) in enumerate((("20190601", "walleye"), ("20200601", "largemouth_bass")))
+    ]
+    tables = reference(spark, [old, *twice])
+    text = sheet([fish_row(1, pitRecapture="LATE"), fish_row(2, pitRecapture="TWICE")])
+
+    def found(options, name):
+        config = BatchConfig(tables, str(tmp_path / name), options=options)
+        return rules_found(run_batch(spark, lines(spark, {NAME: text}), config, "b").violations)
+
+    assert found(fish.Options(), "first") == ["tag_wrong_species"]
+    assert found(fish.Options(tags_as_of=True, growth=True), "asof") == ["tag_applied_later"]
