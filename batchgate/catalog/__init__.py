@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-_MODULES = ("membership", "rows", "outliers", "linkage", "text", "sheets", "admission", "preset")
+_MODULES = ("membership", "rows", "outliers", "linkage", "text", "sheets", "admission", "preset", "season")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from batchgate.catalog import query
+from batchgate.catalog.sheetdata import fresh_folder
 from batchgate.catalog.tables import ORDER_CUTOFF, orders, split_at, table
 from batchgate.operators import gate as g
 from batchgate.operators import membership as m
 from batchgate.operators.ranges import check_range
 from batchgate.operators.violations import Rule, union_violations
+from batchgate.session import stage
 
 _RULES = (
     Rule("new_customer", 1, force_keys=("customer",)),
@@ -38,11 +40,12 @@ judged as (select v.*, rule_order = 3 or entry_file not in (select entry_file fr
 def _judged(spark, sf):
     name = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
     batch, history = split_at(orders(spark, sf).withColumn("entry_file", name), "o_orderdate", ORDER_CUTOFF)
+    names = (("o_custkey",), ("o_custkey", "o_orderpriority"))
+    new = [m.KeyRule(rule, key, {"history": key}) for rule, key in zip(_RULES, names, strict=False)]
     found = union_violations(
         spark,
         [
-            m.check_new_values(batch, history, "o_custkey", _RULES[0]),
-            m.check_new_combos(batch, history, ["o_custkey", "o_orderpriority"], _RULES[1]),
+            m.check_keys(batch, {"history": history}, new),
             check_range(batch, "o_totalprice", 1200, 495000, rule=_RULES[2], entity="o_orderkey"),
         ],
     )
@@ -59,6 +62,12 @@ def _judged(spark, sf):
     return batch, g.apply_overrides(found, per_file.unionByName(everywhere))
 
 
+def _staged(spark, sf):
+    """The judged violations as admission has them: a table, which the gate counts by file and as a whole."""
+    batch, judged = _judged(spark, sf)
+    return batch, stage(judged, f"{fresh_folder(spark)}/judged")
+
+
 @query("q_overrides", _JUDGED + "select rule, value, entry_file, blocking from judged")
 def overrides_query(spark, sf):
     return _judged(spark, sf)[1].select("rule", "value", "entry_file", "blocking")
@@ -83,7 +92,7 @@ select 'batch' as mode, entry_file, n_blocking, (select count(*) from judged whe
 union all select 'file', entry_file, n_blocking, n_blocking = 0 from files""",
 )
 def gate_query(spark, sf):
-    batch, judged = _judged(spark, sf)
+    batch, judged = _staged(spark, sf)
     return g.decisions(batch.select("entry_file"), judged)
 
 
@@ -93,5 +102,5 @@ def gate_query(spark, sf):
     + "select o_orderkey, entry_file from n where entry_file not in (select entry_file from judged where blocking)",
 )
 def quarantine_query(spark, sf):
-    batch, judged = _judged(spark, sf)
+    batch, judged = _staged(spark, sf)
     return g.quarantine(batch, judged).select("o_orderkey", "entry_file")

@@ -172,6 +172,11 @@ def sheet_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     rows = o.join(l, key == F.col("l_orderkey")).select(
         F.when(F.col("o_orderstatus") == "F", filled).otherwise(other).alias("entry_file"), line.alias("line")
     )
+    return _written(rows.withColumns({"no": F.lit(0), "head": F.lit(head)}), folder)
+
+
+def _written(rows: DataFrame, folder: str) -> DataFrame:
+    """Write ``entry_file, no, head, line`` to files, each begun by its head; ``entry_file, lines`` of each."""
 
     def write(batches):
         files, root = fs.FileSystem.from_uri(folder)
@@ -185,7 +190,7 @@ def sheet_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
                 done.append((name, n))
 
         for batch in batches:
-            for file, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for file, head, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if file != name:
                     close()
                     name, n = file, 0
@@ -198,6 +203,55 @@ def sheet_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
             {"entry_file": pa.array([d[0] for d in done], pa.string()), "lines": pa.array([d[1] for d in done], pa.int64())}
         )
 
-    by_file = rows.repartition("entry_file").sortWithinPartitions("entry_file")
-    return by_file.mapInArrow(write, "entry_file string, lines long")
+    by_file = rows.repartition("entry_file").sortWithinPartitions("entry_file", "no")
+    return by_file.select("entry_file", "head", "line").mapInArrow(write, "entry_file string, lines long")
+
+
+SEASON_SQL = f"""
+d as (select 's' || (o_orderkey // {FILLED_ORDERS}) || '_' || strftime(o_orderdate, '%Y-%m') || '-01_0000.csv' as entry_file,
+  strftime(o_orderdate, '%m') = '03' as refused, l_linenumber, sum(l_quantity) as length, max(l_returnflag) as flag
+  from orders join lineitem l on o_orderkey = l_orderkey group by o_orderkey, o_orderdate, l_linenumber)
+"""
+
+
+def season_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Write a sheet in the layout of the fish preset for each month of orders; fish of March lack some numbers.
 
+    A fish is a line number of an order, which some orders have more than once.
+    """
+    o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    l = l.groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("length"), F.max("l_returnflag").alias("flag"))
+    block, day = F.expr(f"o_orderkey div {FILLED_ORDERS}").cast("string"), F.col("o_orderdate").cast("string")
+    year, month = F.substring(day, 1, 4).cast("int"), F.substring(day, 6, 2)
+    clock = F.concat(F.lit("2021-06-03 "), F.lpad((year - 1990).cast("string"), 2, "0"), F.lit(":"), month, F.lit(":00"))
+    header = {
+        "projectID": F.lit("37"),
+        "lakeID": F.lit("WL"),
+        "siteName": F.lit("DeepHole"),
+        "dateTimeSet": clock,
+        "dateTimeSample": clock,
+        "crew": F.lit("a"),
+        "gear": F.lit("AN"),
+        "effort": F.lit("1.5"),
+        "effortUnits": F.lit("angler_hours"),
+        "comments": F.lit('"line\r\nand line"'),
+        "useCPUE": F.lit("yes"),
+        "dataRecorder": F.lit("r"),
+        "dataEnteredBy": F.lit("e"),
+        "metadataID": F.concat(F.lit("m"), block),
+        "useSampleMarkRecap": F.lit("no"),
+        "sampleGroup": F.lit("g"),
+    }
+    head = [F.concat(F.lit(f"{k},"), header.get(k, F.lit("")), F.lit("\r\n")) for k in HEADER_KEYS]
+    names = "fishNum,species,fishLength,fishWeight,pitApply,pitRecapture,floyApply,floyRecapture,otolithSample\r\n"
+    no = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    number = F.when((month == "03") & (F.col("l_linenumber") == 1), "").otherwise(no.cast("string"))
+    taken = F.when(F.col("flag") == "R", "1").otherwise("")
+    cells = [number, F.lit("LMB"), F.col("length").cast("string"), F.lit(",,,,"), taken]
+    rows = o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.concat(F.lit("s"), block, F.lit("_"), F.substring(day, 1, 7), F.lit("-01_0000.csv")).alias("entry_file"),
+        no.alias("no"),
+        F.concat(*head, F.lit(names)).alias("head"),
+        F.concat(F.concat_ws(",", *cells), F.lit("\r\n")).alias("line"),
+    )
+    return _written(rows, folder)

@@ -57,8 +57,8 @@ def blocked_files(judged: DataFrame) -> DataFrame:
 def decisions(files: DataFrame, judged: DataFrame) -> DataFrame:
     """Each file of the batch under both modes: ``mode, entry_file, n_blocking, admitted``.
 
-    ``batch`` rejects all for one blocking violation, ``file`` each file alone.  Violations are counted
-    once for both.
+    ``batch`` rejects all for one blocking violation, ``file`` each file alone.  ``judged`` is read
+    twice, by file and as a whole, so it should be staged.
     """
     counts = judged.filter("blocking").groupBy("entry_file").agg(F.count(F.lit(1)).alias("n_blocking"))
     names = files.select("entry_file").distinct()
