@@ -82,6 +82,30 @@ def regression_fit(spark, sf):
     )
 
 
+@query(
+    "q_statistics_merged",
+    _BRANDED
+    + """, lengths as (select p_brand, count(*) as len_n, avg(l_quantity) as mn, stddev_samp(l_quantity) as sd
+  from l where not is_new and l_quantity > 0 group by 1)
+select p_brand, n, round(b, 4) as slope, round(a, 4) as intercept, round(s, 4) as resid_sd, len_n,
+  round(mn, 6) as len_mean, round(sd, 6) as len_sd from fit join lengths using (p_brand)""",
+)
+def statistics_merged(spark, sf):
+    """Statistics of each month of history, merged, as admission keeps them by batch."""
+    _, history = _branded(spark, sf)
+    months = o.group_statistics(history, "p_brand", "l_quantity", "l_extendedprice", part="entry_file")
+    merged = o.merge_statistics(months)
+    fit = o.regression_table(merged).withColumnRenamed("stat_group", "p_brand")
+    lengths = merged.select(F.col("stat_group").alias("p_brand"), "len_n", "len_mean", "len_sd")
+    return fit.join(lengths, "p_brand").select(
+        "p_brand",
+        "n",
+        *[F.round(c, 4).alias(c) for c in ("slope", "intercept", "resid_sd")],
+        "len_n",
+        *[F.round(c, 6).alias(c) for c in ("len_mean", "len_sd")],
+    )
+
+
 @query(
     "q_regression_outliers",
     _BRANDED

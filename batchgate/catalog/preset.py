@@ -122,6 +122,8 @@ _SAMPLES = f"""
 with s as (select *, strftime(o_orderdate, '%Y-%m') as entry_file, o_orderstatus || '_' || o_custkey as site_id,
     o_orderstatus || '_' || o_custkey || '_2001' || strftime(o_orderdate, '%m%d') || '_0000_' || left(o_orderpriority, 1) as sample_id,
     try_strptime('2001' || strftime(o_orderdate, '%m%d'), '%Y%m%d') as key_day,
+    case when o_custkey % 40 = 3 then 'u' || o_custkey else o_orderstatus end as cpue,
+    case when o_custkey % 40 = 5 then null when o_custkey % 40 = 6 then 'r' || o_custkey else o_orderstatus end as mark,
     o_totalprice / 20000 as effort, case when left(o_orderpriority, 1) = '1' then o_totalprice / 18000 end as distance,
     case when o_orderdate >= timestamp '{ORDER_CUTOFF}' then 2 when o_orderdate >= timestamp '{SEASON_START}' then 1 else 0 end as source
   from orders),
@@ -130,6 +132,9 @@ select distinct 'new_siteID' as rule, null as entity, site_id as value, entry_fi
 union all select distinct 'new_metadataID', null, o_custkey::varchar, entry_file from n where o_custkey not in (select o_custkey from h)
 union all select distinct 'new_projectID', null, (o_orderkey // 3)::varchar, entry_file from n
   where o_orderkey // 3 not in (select o_orderkey // 3 from h)
+union all select distinct 'vocab_useCPUE', null, cpue, entry_file from n where cpue not in (select cpue from db)
+union all select distinct 'vocab_useSampleMarkRecap', null, mark, entry_file from n
+  where not exists (select 1 from db where db.mark is not distinct from n.mark)
 union all select distinct 'retired_projectID', null, (o_orderkey // 3)::varchar, entry_file from n
   where o_orderkey // 3 in ({", ".join(map(str, fish.RETIRED_PROJECTS))})
 union all select distinct 'repeat_sampleID', null, sample_id, entry_file from n where sample_id in (select sample_id from h)
@@ -141,15 +146,15 @@ union all select 'date_set_part', sample_id, strftime(o_orderdate + interval 1 d
 union all select 'key_timestamp', sample_id, sample_id, entry_file from n where key_day <> o_orderdate
 union all select 'range_dayOfYear', sample_id, dayofyear(o_orderdate)::varchar, entry_file from n
   where dayofyear(o_orderdate) <= 91 or dayofyear(o_orderdate) >= 305
-union all select 'range_distanceShocked', sample_id, null, entry_file from n where distance <= 0 or distance >= 25
-union all select 'range_effort', sample_id, null, entry_file from n where effort < 0 or effort >= 24
+union all select 'range_distanceShocked', sample_id, round(distance, 3)::varchar, entry_file from n where distance <= 0 or distance >= 25
+union all select 'range_effort', sample_id, round(effort, 3)::varchar, entry_file from n where effort < 0 or effort >= 24
 """
 
 
 def order_samples(spark, sf_dir):
     """Orders in the shape of samples.  Partial orders are set two days late, their set date a day late."""
     status, gear = F.col("o_orderstatus"), F.left("o_orderpriority", F.lit(1))
-    at = F.col("o_orderdate")
+    at, customer, some = F.col("o_orderdate"), F.col("o_custkey").cast("string"), F.col("o_custkey") % 40
     set_at = F.when(status == "P", at + F.expr("interval 2 days")).otherwise(at)
     site = build_key(status, F.col("o_custkey"))
     day = F.concat(F.lit("2001"), F.substring(date_text(at), 5, 4))
@@ -169,8 +174,8 @@ def order_samples(spark, sf_dir):
         (F.col("o_totalprice") / 20000).alias("effort"),
         gear.alias("effortUnits"),
         F.col("o_custkey").alias("metadataID"),
-        status.alias("useCPUE"),
-        status.alias("useSampleMarkRecap"),
+        F.when(some == 3, F.concat(F.lit("u"), customer)).otherwise(status).alias("useCPUE"),
+        F.when(some == 6, F.concat(F.lit("r"), customer)).when(some != 5, status).alias("useSampleMarkRecap"),
         status.alias("sampleGroup"),
         month(at).alias("entry_file"),
     )
@@ -185,5 +190,6 @@ def sample_rules(spark, sf_dir):
     )
     found = union_violations(spark, parts)
     # Measured values are computed numbers, whose last digits need not print alike.
-    value = F.when(F.col("rule").isin("range_distanceShocked", "range_effort"), None).otherwise(F.col("value"))
+    measured = F.round(F.col("value").try_cast("double"), 3).cast("string")
+    value = F.when(F.col("rule").isin("range_distanceShocked", "range_effort"), measured).otherwise(F.col("value"))
     return found.select("rule", "entity", value.alias("value"), "entry_file")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from statistics import NormalDist
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +52,67 @@ def regression_moments(x: Column, y: Column, prefix: str = "") -> list[Column]:
     ]
 
 
+class Merged(NamedTuple):
+    """Moments of parts as an aggregate, their merge, and the merged moments as columns."""
+
+    name: str
+    parts: Column
+    merge: Callable[[Column], Column]
+    columns: Callable[[Column], list[Column]]
+
+
+def _fold(parts: Column, means: tuple[str, ...], sums: dict[str, tuple[str, str]]) -> Column:
+    """Merge moments one part after another: centred sums grow by the distance of the means."""
+    fields = ("n", *means, *sums)
+
+    def merge(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        apart = {m: b[m] - a[m] for m in means}
+        out = [n.alias("n"), *[(a[m] + apart[m] * b["n"] / n).alias(m) for m in means]]
+        for name, (x, y) in sums.items():
+            out.append((a[name] + b[name] + apart[x] * apart[y] * a["n"] / n * b["n"]).alias(name))
+        return F.struct(*out)
+
+    zero = F.struct(*[F.lit(0.0).alias(f) for f in fields])
+    # In order, so that sums do not depend on the order in which parts arrive.
+    return F.aggregate(F.array_sort(parts), zero, merge)
+
+
+def merged_measure(prefix: str = "") -> Merged:
+    """Merges rows of :func:`measure_moments`."""
+    n, mean, sd = (F.col(prefix + s) for s in ("n", "mean", "sd"))
+    squares = F.coalesce(sd * sd * (n - 1), F.lit(0.0))
+    parts = F.collect_list(F.when(n > 0, F.struct(n.cast("double").alias("n"), mean.alias("mean"), squares.alias("m2"))))
+
+    def columns(m: Column) -> list[Column]:
+        return [
+            m["n"].cast("long").alias(prefix + "n"),
+            F.when(m["n"] > 0, m["mean"]).alias(prefix + "mean"),
+            F.when(m["n"] > 1, F.sqrt(m["m2"] / (m["n"] - 1))).alias(prefix + "sd"),
+        ]
+
+    return Merged(prefix + "moments", parts, lambda p: _fold(p, ("mean",), {"m2": ("mean", "mean")}), columns)
+
+
+def merged_regression(prefix: str = "") -> Merged:
+    """Merges rows of :func:`regression_moments`."""
+    n = F.col(prefix + "n").cast("double")
+    means = [F.col(prefix + m).alias(m) for m in ("mx", "my")]
+    sums = {"vx": ("mx", "mx"), "vy": ("my", "my"), "cxy": ("mx", "my")}
+    centred = [(F.col(prefix + c) * n).alias(c) for c in sums]
+    parts = F.collect_list(F.when(n > 0, F.struct(n.alias("n"), *means, *centred)))
+
+    def columns(m: Column) -> list[Column]:
+        some = m["n"] > 0
+        return [
+            m["n"].cast("long").alias(prefix + "n"),
+            *[F.when(some, m[c]).alias(prefix + c) for c in ("mx", "my")],
+            *[F.when(some, m[c] / m["n"]).alias(prefix + c) for c in sums],
+        ]
+
+    return Merged(prefix + "moments", parts, lambda p: _fold(p, ("mx", "my"), sums), columns)
+
+
 def regression_fit(prefix: str = "") -> dict[str, Column]:
     """Slope, intercept, residual deviation and Sxx from the columns of :func:`regression_moments`.
 

@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.functions.stats import measure_moments, prediction_bounds, regression_fit, regression_moments
+from batchgate.functions.stats import (
+    measure_moments,
+    merged_measure,
+    merged_regression,
+    prediction_bounds,
+    regression_fit,
+    regression_moments,
+)
 from batchgate.operators.joins import splittable_on
 from batchgate.operators.violations import Finding, Rule, row_violations
 
@@ -19,10 +26,17 @@ LEVEL = 0.99
 
 
 def group_statistics(
-    history: DataFrame, group: str, length: str, weight: str | None = None, batch: DataFrame | None = None
+    history: DataFrame,
+    group: str,
+    length: str,
+    weight: str | None = None,
+    batch: DataFrame | None = None,
+    part: str | None = None,
 ) -> DataFrame:
     """One row per group: moments of positive lengths, and of log weight against log length.
 
+    With ``part`` there is one for each group and value of that column, to be merged later.
+
     With ``batch`` only its groups are kept; where they are few enough to broadcast, Catalyst applies
     that to the scan of history.
     """
@@ -32,13 +46,27 @@ def group_statistics(
         both = (ln > 0) & (F.col(weight) > 0)
         x, y = F.when(both, F.log(ln)), F.when(both, F.log(F.col(weight)))
         aggs += regression_moments(x, y, "reg_")
-    stats = history.groupBy(F.col(group).alias("stat_group")).agg(*aggs)
+    keys = [F.col(group).alias("stat_group"), *([F.col(part)] if part else [])]
+    stats = history.groupBy(*keys).agg(*aggs)
     if batch is None:
         return stats
     asked = batch.select(F.col(group).alias("asked_group")).distinct()
     return stats.join(asked, stats["stat_group"].eqNullSafe(asked["asked_group"]), "left_semi")
 
 
+def merge_statistics(parts: DataFrame) -> DataFrame:
+    """One row per group from rows of :func:`group_statistics` over parts of history that do not overlap.
+
+    As many rows meet in a group as there are parts; the raw history is not read.
+    """
+    families = [merged_measure("len_")]
+    if "reg_n" in parts.columns:
+        families.append(merged_regression("reg_"))
+    held = parts.groupBy("stat_group").agg(*[f.parts.alias(f.name) for f in families])
+    held = held.select("stat_group", *[f.merge(F.col(f.name)).alias(f.name) for f in families])
+    return held.select("stat_group", *[c for f in families for c in f.columns(F.col(f.name))])
+
+
 def regression_table(stats: DataFrame, min_history: int = MIN_HISTORY) -> DataFrame:
     """The fitted line per group that has enough history."""
     fit = regression_fit("reg_")
