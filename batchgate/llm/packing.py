@@ -117,7 +117,7 @@ def pack(
     linear: float = 1.0,
     quadratic: float = 1.0 / 2048,
     block_tokens: int = 1 << 20,
-    remembered: int = 400_000,
+    remembered: int = 250_000,
     special_tokens: bool = False,
 ) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most ``size`` tokens.

@@ -32,6 +32,7 @@ from batchgate.llm.tokenids import ID, encoder
 MASK = 0xA282EAD8
 HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<I")
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("start", "<u8"), ("n", "<u8")])
+ENTRY = struct.Struct("<qBQQQ")
 MANIFEST = "part long, file long, path string, width int, n_records long, n_tokens long, n_bytes long"
 RECORDS = "doc_id long, start long, n_tokens long, ids binary"
 
@@ -65,20 +66,21 @@ class RecordFile:
         self.files, self.path = fs.FileSystem.from_uri(uri)
         self.uri, self.dtype = uri, np.dtype(f"<u{width}")
         self.out = self.files.open_output_stream(f"{self.path}.tmp")
-        self.offset = self.tokens = 0
-        self.index: list[tuple] = []
+        self.offset = self.tokens = self.records = 0
+        self.index = bytearray()
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
         record = frame(ids.astype(self.dtype).tobytes())
         self.out.write(record)
-        self.index.append((doc or 0, doc is not None, self.offset, self.tokens, len(ids)))
+        self.index += ENTRY.pack(doc or 0, doc is not None, self.offset, self.tokens, len(ids))
+        self.records += 1
         self.offset += len(record)
         self.tokens += len(ids)
 
     def close(self) -> None:
         self.out.close()
         with self.files.open_output_stream(f"{self.path}.idx.tmp") as out:
-            out.write(np.array(self.index, dtype=INDEX).tobytes())
+            out.write(bytes(self.index))
         self.files.move(f"{self.path}.idx.tmp", f"{self.path}.idx")
         self.files.move(f"{self.path}.tmp", self.path)
 
@@ -92,21 +94,24 @@ def write_records(
     text_col: str = "text",
     end_id: int = 1,
     file_bytes: int = 1 << 28,
+    file_records: int = 1 << 20,
     special_tokens: bool = False,
+    remembered: int = 250_000,
 ) -> DataFrame:
     """Write all documents in ascending id order; the manifest of files, with each one's first token.
 
     Null ids come first; rows of one id are ordered by their texts' hash; a null or empty text is the end
     id alone; an empty table writes nothing; other columns are ignored.  ``folder`` must be shared by all
-    executors and is created; by default it lies in the cluster's shared folder.  With ``special_tokens``
-    their strings in a text are those tokens, else ordinary text.
+    executors and is created; by default it lies in the cluster's shared folder.  A file is closed beyond
+    ``file_bytes`` or ``file_records``, whichever comes first.  With ``special_tokens`` their strings in a
+    text are those tokens, else ordinary text.  ``remembered`` bounds a worker's memory of encoded chunks.
     """
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = encoder(tokenizer_path, special_tokens=special_tokens)
+        tokens = encoder(tokenizer_path, remembered, special_tokens)
         width = 2 if tokens.vocabulary_size <= 1 << 16 and end_id < 1 << 16 else 4
         end = np.array([end_id], dtype=ID).tobytes()
         files, path = fs.FileSystem.from_uri(folder)
@@ -116,7 +121,7 @@ def write_records(
 
         def finish(f: RecordFile) -> None:
             f.close()
-            done.append((part, len(done), f.uri, width, len(f.index), f.tokens, f.offset))
+            done.append((part, len(done), f.uri, width, f.records, f.tokens, f.offset))
 
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -124,7 +129,7 @@ def write_records(
                     out = RecordFile(f"{folder}/{part:06d}-{task.taskAttemptId()}-{len(done):04d}.rec", width)
                 ids = tokens.encode(text.as_py() or "") + end
                 out.add(doc.as_py(), np.frombuffer(ids, dtype=ID))
-                if out.offset >= file_bytes:
+                if out.offset >= file_bytes or out.records >= file_records:
                     finish(out)
                     out = None
         if out is not None:
@@ -186,5 +191,8 @@ def read_records(manifest: DataFrame, seed: int | None = None) -> DataFrame:
                 yield out(rows)
 
     files = manifest.select("path", "width", "first_token")
-    files = files.repartition(F.col("path")) if seed is None else files.repartition(F.rand(seed))
-    return files.mapInArrow(run, RECORDS)
+    # A number of its own for each file, and a task for each number: adaptive execution leaves those apart.
+    tasks = max(1, files.count())
+    order = F.col("path") if seed is None else F.xxhash64(F.lit(seed), "path")
+    dealt = files.withColumn("n", F.row_number().over(Window.orderBy(order)))
+    return dealt.repartitionByRange(tasks, "n").drop("n").mapInArrow(run, RECORDS)

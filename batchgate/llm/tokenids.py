@@ -54,7 +54,7 @@ class TokenEncoder:
     tokens, as the library gives them unless told otherwise.
     """
 
-    def __init__(self, path: str, chunks: int = 400_000, words: int = 300_000, special_tokens: bool = False):
+    def __init__(self, path: str, chunks: int = 250_000, words: int = 60_000, special_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special_tokens
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -102,10 +102,17 @@ class TokenEncoder:
     def _encode_chunk(self, chunk: str) -> bytes:
         if self.byte_level and chunk[0] != "\n":
             chunk = " " + chunk
-        return self._encode_words(chunk)
+        words = self._pattern.findall(chunk)
+        return self._encode_word(words[0]) if len(words) == 1 else self._joined(words)
 
     def _encode_words(self, text: str) -> bytes:
-        return b"".join([self._word[w] for w in self._pattern.findall(text)])
+        return self._joined(self._pattern.findall(text))
+
+    def _joined(self, words: list[str]) -> bytes:
+        """The ids of words; those that are chunks by themselves are remembered as such, and only once."""
+        if not self.byte_level:
+            return b"".join([self._chunk[w] for w in words])
+        return b"".join([self._chunk[w[1:]] if len(w) > 1 and w[0] == " " else self._word[w] for w in words])
 
     def _encode_word(self, word: str) -> bytes:
         bare = word[1:] if self.byte_level and word[0] == " " else word
@@ -119,9 +126,9 @@ class TokenEncoder:
 _ENCODERS: dict[tuple[str, int, bool], TokenEncoder] = {}
 
 
-def encoder(path: str, chunks: int = 400_000, special_tokens: bool = False) -> TokenEncoder:
-    """One encoder for each Python worker; 400,000 chunks and three quarters as many words take some 350 MB."""
+def encoder(path: str, chunks: int = 250_000, special_tokens: bool = False) -> TokenEncoder:
+    """One encoder for each Python worker; it remembers up to twice as many chunks, some 200 bytes each."""
     key = path, chunks, special_tokens
     if key not in _ENCODERS:
-        _ENCODERS[key] = TokenEncoder(path, chunks, chunks * 3 // 4, special_tokens)
+        _ENCODERS[key] = TokenEncoder(path, chunks, chunks // 4, special_tokens)
     return _ENCODERS[key]
