@@ -171,17 +171,16 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_fingerprints")
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = winnowing.with_next(table(spark, sf_dir, "documents"))
-    rows = rows.withColumn("edited", winnowing.edited(F.col("text"), F.col("next_text")))
-    rows = rows.withColumn("edited_prints", winnowing.code_point_fingerprint(F.col("edited")))
-    return rows.select(
+    """Fingerprints as text, and likenesses of the edited text and of the next document; an empty table gives no rows."""
+    found = winnowing.compared(table(spark, sf_dir, "documents"))
+    return found.select(
         "doc_id",
-        F.length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
+        "n_chars",
+        "edited_sha256",
         winnowing.as_string(F.col("prints")).alias("fingerprint"),
         winnowing.as_string(F.col("edited_prints")).alias("edited_fingerprint"),
-        winnowing.likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
-        winnowing.likeness(F.col("prints"), F.col("next_prints")).alias("near_next"),
+        "near_edited",
+        "near_next",
     )
 
 

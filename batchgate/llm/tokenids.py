@@ -54,7 +54,7 @@ class TokenEncoder:
     tokens, as the library gives them unless told otherwise.
     """
 
-    def __init__(self, path: str, chunks: int = 250_000, words: int = 60_000, special_tokens: bool = False):
+    def __init__(self, path: str, chunks: int = 400_000, words: int = 100_000, special_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special_tokens
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -126,7 +126,7 @@ class TokenEncoder:
 _ENCODERS: dict[tuple[str, int, bool], TokenEncoder] = {}
 
 
-def encoder(path: str, chunks: int = 250_000, special_tokens: bool = False) -> TokenEncoder:
+def encoder(path: str, chunks: int = 400_000, special_tokens: bool = False) -> TokenEncoder:
     """One encoder for each Python worker; it remembers up to twice as many chunks, some 200 bytes each."""
     key = path, chunks, special_tokens
     if key not in _ENCODERS:

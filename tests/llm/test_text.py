@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from batchgate.llm import decontaminate, language_id, licenses, queries, toxicity, winnowing
+from batchgate.llm import decontaminate, language_id, licenses, queries, toxicity
 
 from .conftest import frame
 
@@ -96,63 +96,6 @@ def test_no_items_and_no_documents(llm, odd):
     assert decontaminate.contamination(frame(llm, []), none).count() == 0
 
 
-def plain_runs(text):
-    words = re.findall(r"[^ \t\n\x0b\f\r]+", text)
-    return [tuple(words[i : i + winnowing.K]) for i in range(max(1, len(words) - winnowing.K + 1))] if words else []
-
-
-def plain_winnow(hashes):
-    """Positions chosen, of runs' hashes in the order in which the operator compares them."""
-    chosen = []
-    for i in range(max(1, len(hashes) - winnowing.W + 1) if hashes else 0):
-        window = hashes[i : i + winnowing.W]
-        best = min(window)
-        at = i + max(j for j, h in enumerate(window) if h == best)
-        if at not in chosen:
-            chosen.append(at)
-    return chosen
-
-
-def test_fingerprints_equal_plain_winnowing(llm, odd, words):
-    rng = random.Random(4)
-    long = " ".join(rng.choice(words) for _ in range(6000))
-    rows = [*odd, (70, long * 3), (71, "a b " * 9000), (72, " lead  and trail \n"), (73, " ".join(words[:6]))]
-    got = frame(llm, rows).select("doc_id", "text", winnowing.fingerprint(F.col("text")).alias("p")).collect()
-    texts = [(r.text or "", r.p) for r in got]
-    runs = sorted({x for t, _ in texts for x in plain_runs(t)})
-    low = (1 << winnowing.PLACE) - 1
-    hashed = llm.createDataFrame([(list(x),) for x in runs], "x array<string>")
-    hashed = hashed.select("x", F.shiftright(F.xxhash64("x").bitwiseAND(F.lit(~low)), winnowing.PLACE))
-    number = {tuple(r[0]): r[1] for r in hashed.collect()}
-    for text, prints in texts:
-        hashes = [number[x] for x in plain_runs(text)]
-        assert [(p.pos, p.hash) for p in prints] == [(i, hashes[i]) for i in plain_winnow(hashes)]
-
-
-def test_each_document_is_followed_by_the_next_by_id(llm, words):
-    rng = random.Random(6)
-    ids = rng.sample(range(-3000, 10**7), 40) + list(range(200, 460)) + [None, 200]
-    rows = [(d, None if d == 205 else f"{d} " + " ".join(rng.choice(words) for _ in range(5))) for d in ids]
-    got = winnowing.with_next(frame(llm, rows)).collect()
-    order = sorted(((d is not None, d or 0, t or "") for d, t in rows))
-    texts = [t for _, _, t in order]
-    want = sorted((t, texts[(i + 1) % len(texts)]) for i, t in enumerate(texts))
-    assert sorted((r.text, r.next_text) for r in got) == want
-    assert winnowing.with_next(frame(llm, [])).count() == 0
-    alone = winnowing.with_next(frame(llm, [(5, "only")])).first()
-    assert alone.next_text == "only"
-
-
-def test_edits_and_likeness(llm):
-    rows = llm.createDataFrame([("abcdefgh🎉", "XY"), ("", "zz"), ("abcdefgh", "")], "t string, n string")
-    got = [r[0] for r in rows.select(winnowing.edited(F.col("t"), F.col("n"))).collect()]
-    assert got == ["abcdefgXY", "", "abcdef"]
-    prints = winnowing.fingerprint(F.col("t"))
-    assert [r[0] for r in rows.select(F.size(prints)).collect()] == [1, 0, 1]
-    same = rows.select(winnowing.likeness(winnowing.fingerprint(F.col("t")), winnowing.fingerprint(F.col("t"))))
-    assert [r[0] for r in same.collect()] == [1.0, 1.0, 1.0]
-
-
 def test_licences_of_files_and_of_directories_above(llm):
     mit, apache = (t for _, t in licenses.TEMPLATES[:2])
     rows = [
