@@ -10,16 +10,20 @@ least edit distance of the item to any stretch of text is computed with Myers' b
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from functools import reduce
+import uuid
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of items that one automaton is built for; more items take more passes over the texts.
-BLOCK_CHARS = 1 << 24
+from batchgate.llm.common import stage
+
+#: Characters of items that one automaton is built for, some 130 MB of it; more items take more passes over
+#: the texts, of which so many run at once, each in a worker of its own.
+BLOCK_CHARS, PASSES = 1 << 21, 2
 HITS = "doc_id long, item_ids array<long>, distances array<int>"
 _WORD = re.compile(r"\w+")
 
@@ -66,6 +70,25 @@ class Item:
         return best
 
 
+class Block(NamedTuple):
+    """Some of the items, normalised, under a name of its own."""
+
+    name: str
+    items: list[tuple[int, str]]
+    rate: float
+
+
+_BUILT: dict[str, Matcher] = {}
+
+
+def matcher(block: Block) -> Matcher:
+    """The matcher of a block, built once by each Python worker, which keeps the last one only."""
+    if block.name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[block.name] = Matcher(block.items, block.rate)
+    return _BUILT[block.name]
+
+
 class Matcher:
     """All items of a block."""
 
@@ -104,14 +127,26 @@ class Matcher:
         return sorted(found)
 
 
-def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """Items with words, normalised, in blocks of a bounded size."""
+def _blocks(items: DataFrame, block_chars: int, rate: float) -> Iterator[Block]:
+    """Items with words, normalised, in blocks of a bounded size on average."""
+    items = items.select(F.col("item_id").cast("long"), "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars)
     for i in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
         rows = ((r.item_id, normalised(r.text)) for r in part.toLocalIterator())
-        yield sorted({(i, t) for i, t in rows if i is not None and t})
+        held = sorted({(i, t) for i, t in rows if i is not None and t})
+        if held:
+            yield Block(uuid.uuid4().hex, held, rate)
+
+
+def _passes(rows: DataFrame, blocks: Iterator[Block], one: Callable[[DataFrame, Block], DataFrame]) -> DataFrame:
+    """One map pass over the rows for each block; the rows are staged between so many passes."""
+    for n, block in enumerate(blocks):
+        if n and n % PASSES == 0:
+            rows = stage(rows, "passes")
+        rows = one(rows, block)
+    return rows
 
 
 def contamination(
@@ -127,46 +162,41 @@ def contamination(
 
     ``items`` has ``item_id, text``; those with a null id or without words match nothing, repeated ones
     count once, and of several texts of one id the best distance counts.  A null or empty text holds no
-    item.  Repeated rows and null ids are kept as they are if one block holds all items; with several
-    blocks rows of one id become one.  An empty table gives an empty one; with no items the lists are
-    empty.  Other columns are ignored.
+    item.  Repeated rows and null ids are kept as they are.  An empty table gives an empty one; with no
+    items the lists are empty.  Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = _blocks(items.select(F.col("item_id").cast("long"), "text"), block_chars)
-    parts = [_search(rows, block, rate) for block in blocks]
-    if not parts:
-        return _search(rows, [], rate)
-    if len(parts) == 1:
-        return parts[0]
-    # Blocks hold different texts, so an item's distances meet in a map of bounded size.
-    hit = reduce(DataFrame.unionByName, parts)
-    hit = hit.withColumn("h", F.explode_outer(F.arrays_zip("item_ids", "distances")))
-    hit = hit.groupBy("doc_id", F.col("h.item_ids").alias("i")).agg(F.min("h.distances").alias("d"))
-    hit = hit.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "d"))).alias("h"))
-    hit = hit.withColumn("h", F.filter("h", lambda x: x["i"].isNotNull()))
-    return hit.select("doc_id", F.col("h.i").alias("item_ids"), F.col("h.d").alias("distances"))
-
-
-def _search(rows: DataFrame, block: list[tuple[int, str]], rate: float) -> DataFrame:
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.array().cast("array<long>").alias("item_ids"),
+        F.array().cast("array<int>").alias("distances"),
+        F.col(text_col).alias("text"),
+    )
+    return _passes(rows, _blocks(items, block_chars, rate), _search).drop("text")
+
+
+def _search(rows: DataFrame, block: Block) -> DataFrame:
+    """``rows`` with the block's items added to those found before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(block, rate) if block else None
+        find = matcher(block).find
         for batch in batches:
             found = []
-            for text in batch.column(1):
-                best: dict[int, int] = {}
-                for item, distance in matcher.find(normalised(text.as_py())) if matcher else ():
+            for ids, distances, text in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                best = dict(zip(ids, distances, strict=True))
+                for item, distance in find(normalised(text)):
                     best[item] = min(distance, best.get(item, distance))
-                found.append(best)
+                found.append(sorted(best.items()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([list(b) for b in found], type=pa.list_(pa.int64())),
-                    pa.array([list(b.values()) for b in found], type=pa.list_(pa.int32())),
+                    pa.array([[i for i, _ in f] for f in found], type=pa.list_(pa.int64())),
+                    pa.array([[d for _, d in f] for f in found], type=pa.list_(pa.int32())),
+                    batch.column(3),
                 ],
-                names=["doc_id", "item_ids", "distances"],
+                names=batch.schema.names,
             )
 
-    return rows.mapInArrow(run, HITS)
+    return rows.mapInArrow(run, HITS + ", text string")
 
 
 def keep_clean(
@@ -180,16 +210,13 @@ def keep_clean(
     """The rows of ``docs`` that hold no item, all columns as they were, without a shuffle."""
     at = docs.columns.index(text_col)
 
-    def without(block: list[tuple[int, str]]):
+    def without(rows: DataFrame, block: Block) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, rate)
+            find = matcher(block).find
             for batch in batches:
-                clean = [not matcher.find(normalised(t.as_py())) for t in batch.column(at)]
+                clean = [not find(normalised(t.as_py())) for t in batch.column(at)]
                 yield batch.filter(pa.array(clean, type=pa.bool_()))
 
-        return run
+        return rows.mapInArrow(run, rows.schema)
 
-    for block in _blocks(items.select(F.col("item_id").cast("long"), "text"), block_chars):
-        if block:
-            docs = docs.mapInArrow(without(block), docs.schema)
-    return docs
+    return _passes(docs, _blocks(items, block_chars, rate), without)

@@ -4,37 +4,168 @@ Every three consecutive lines of a document are a window, known by 128 bits of h
 occurrence of a window, by document id and position, stays; later ones cover their lines, and lines that
 any later occurrence covers go.  Only hashes and positions are shuffled: once to find the windows that
 occur more than once, combined before the shuffle, and once to find their later occurrences.
+
+A line of more than LONG words counts as several: it is cut after each word that is the longest, and of
+equally long ones the last by its bytes, among its REACH neighbours to both sides.  Where a line is cut
+depends on the words around alone, so a passage inside a long line is cut alike wherever it stands, and
+every part has more than REACH words but the line's last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import bounded, splittable, stage
+from batchgate.llm.periodic_runs import words_of
+from batchgate.llm.wordhash import mix, numbers
 
 WINDOW = 3
+#: Words from which on a line is cut, and neighbours to each side that a cut's word outdoes.
+LONG, REACH = 24, 4
+#: Characters of texts that are handled at once, unless one text has more.
+SLICE = 1 << 20
+WINDOWS = "doc_id long, pos int, key struct<a: long, b: long>"
+_SALT = numbers(2 * WINDOW + 2, 41)
+_REMOVED = ("removed_lines", "removed_parts")
 
 
-def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, pos, key`` of each window."""
+class Layout(NamedTuple):
+    """Lines and parts of some texts; parts are lines, or what long ones are cut into.
+
+    ``lines`` of all texts, ``line_first`` of each text (and the end), ``part_first`` of each line (and the
+    end), ``words`` of all lines, and ``word_first`` of each part (and the end).
+    """
+
+    lines: list[str]
+    line_first: np.ndarray
+    part_first: np.ndarray
+    words: pa.Array
+    word_first: np.ndarray
+    long: np.ndarray
+
+
+def _outdoing(rank: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Words that outdo their neighbours in the line: those before strictly, those after at least."""
+    # As many places without a word between lines as a neighbourhood reaches.
+    place = np.arange(len(rank)) + REACH * (line + 1)
+    held = np.full(len(rank) + REACH * (int(line[-1]) + 2), -1, dtype=np.int64)
+    held[place] = rank
+    best = np.ones(len(rank), dtype=bool)
+    for k in range(1, REACH + 1):
+        best &= (rank > held[place - k]) & (rank >= held[place + k])
+    return best
+
+
+def layout(texts: list[str]) -> Layout:
+    """Cut texts into lines, and long lines into parts."""
+    each = [t.split("\n") for t in texts]
+    lines = [x for e in each for x in e]
+    words, first = words_of(pa.array(lines, type=pa.large_string()))
+    n = np.diff(first)
+    long = n > LONG
+    begins = np.zeros(len(words) + 1, dtype=bool)
+    begins[first[:-1][n > 0]] = True
+    mine = np.repeat(long, n)
+    if mine.any():
+        coded = words.dictionary_encode()
+        known = pa.table({"n": pc.utf8_length(coded.dictionary.cast(pa.large_string())), "w": coded.dictionary})
+        rank = np.empty(len(known), dtype=np.int64)
+        rank[pc.sort_indices(known, [("n", "ascending"), ("w", "ascending")]).to_numpy()] = np.arange(len(known))
+        line = np.repeat(np.cumsum(long)[long] - 1, n[long])
+        at = np.flatnonzero(mine)
+        cut = at[_outdoing(rank[coded.indices.to_numpy()[at]], line)]
+        begins[cut + 1] = True
+    begins[-1] = False
+    # A line without words is a part of none.
+    parts = np.maximum(np.add.reduceat(np.append(begins, False), first[:-1]) * (n > 0), 1)
+    part_first = np.concatenate([[0], np.cumsum(parts)])
+    word_first = np.empty(part_first[-1] + 1, dtype=np.int64)
+    word_first[part_first[:-1]] = first[:-1]
+    inner = np.setdiff1d(np.flatnonzero(begins), first[:-1], assume_unique=False)
+    line = np.searchsorted(first, inner, "right") - 1
+    nth = np.arange(len(inner)) - np.searchsorted(line, line)
+    word_first[part_first[line] + nth + 1] = inner
+    word_first[-1] = len(words)
+    return Layout(lines, np.cumsum([0] + [len(e) for e in each]), part_first, words, word_first, long)
+
+
+def _digests(texts: list[bytes]) -> np.ndarray:
+    found = b"".join([hashlib.blake2b(t, digest_size=16).digest() for t in texts])
+    return np.frombuffer(found, dtype=np.uint64).reshape(-1, 2)
+
+
+def part_hashes(held: Layout) -> np.ndarray:
+    """128 bits for each part: of a line as it is, or of the words of a long line's part."""
+    out = np.empty((held.part_first[-1], 2), dtype=np.uint64)
+    short = np.flatnonzero(~held.long)
+    out[held.part_first[short]] = _digests([held.lines[i].encode("utf-8", "surrogatepass") for i in short])
+    whole = np.repeat(held.long, np.diff(held.part_first))
+    if whole.any():
+        first, last = held.word_first[:-1][whole], held.word_first[1:][whole]
+        coded = held.words.dictionary_encode()
+        word = _digests(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        size = last - first
+        at = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        place = numbers(int(size.max()), 43)[np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)]
+        for side in (0, 1):
+            total = np.add.reduceat(mix(word[at, side] + _SALT[side]) * place, np.cumsum(size) - size)
+            out[whole, side] = mix(total + size.astype(np.uint64))
+    return out
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    a, held = 0, 0
+    for b, t in enumerate(texts):
+        held += len(t)
+        if held >= SLICE:
+            yield a, b + 1
+            a, held = b + 1, 0
+    if a < len(texts):
+        yield a, len(texts)
 
-    def keys(lines: Column) -> Column:
-        def key(i: Column) -> Column:
-            part = [F.get(lines, i + j) for j in range(WINDOW)]
-            return F.struct(F.xxhash64(*part).alias("a"), F.xxhash64(F.lit("second"), *part).alias("b"))
 
-        return F.transform(F.sequence(F.lit(0), F.size(lines) - WINDOW), key)
+def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, pos, key`` of each window; positions count parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in _slices(texts):
+                held = layout(texts[a:b])
+                h = part_hashes(held)
+                begin = held.part_first[held.line_first]
+                n = np.maximum(np.diff(begin) - (WINDOW - 1), 0)
+                pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = np.repeat(begin[:-1], n) + pos
+                keys = []
+                for side in (0, 1):
+                    total = np.zeros(len(at), dtype=np.uint64)
+                    for j in range(WINDOW):
+                        total = mix(total + h[at + j, side] * _SALT[2 + 2 * j + side])
+                    keys.append(pa.array(total.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a).take(pa.array(np.repeat(np.arange(b - a), n))),
+                        pa.array(pos.astype(np.int32)),
+                        pa.StructArray.from_arrays(keys, names=["a", "b"]),
+                    ],
+                    names=["doc_id", "pos", "key"],
+                )
 
-    # The lines are bound to a variable, so that they are cut once for each text.
-    lines = F.filter(F.array(F.split(text_col, "\n")), lambda x: F.size(x) >= WINDOW)
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    found = F.posexplode(F.flatten(F.transform(lines, keys))).alias("pos", "key")
-    return rows.select(F.col(id_col).cast("long").alias("doc_id"), found)
+    return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, WINDOWS)
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ranges``: first and last line, from 0, of each stretch that later occurrences cover."""
+    """``doc_id, ranges``: first and last part, from 0, of each stretch that later occurrences cover."""
     window = _windows(docs, id_col, text_col)
     place = F.struct("doc_id", "pos")
     first = window.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -51,33 +182,59 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return merged.groupBy("doc_id").agg(ranges.alias("ranges"))
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated passages cut from the text, and ``n_lines, removed_lines`` added.
+def without(text: str, ranges: list[dict]) -> tuple[str, int, int]:
+    """The text without the parts in ``ranges``, and how many lines and parts went; words left of a line are joined."""
+    held = layout([text])
+    gone = np.zeros(held.part_first[-1], dtype=bool)
+    for r in ranges:
+        gone[r["lo"] : r["hi"] + 1] = True
+    left, removed = [], 0
+    for i, line in enumerate(held.lines):
+        mine = gone[held.part_first[i] : held.part_first[i + 1]]
+        if mine.all():
+            removed += 1
+        elif mine.any():
+            keep = held.part_first[i] + np.flatnonzero(~mine)
+            words = [held.words[int(w)].as_py() for p in keep for w in range(held.word_first[p], held.word_first[p + 1])]
+            left.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+        else:
+            left.append(line)
+    return "\n".join(left), removed, int(gone.sum())
+
 
-    Lines end at newlines and are compared as they are, blank ones too; a document of fewer than three
-    has no window.  A text all of whose lines go becomes empty; a null text stays null, with no lines; an
-    empty text has one, empty line.  Rows with a null id stay as they are.  Repeated rows of one id are
-    one document: the first occurrence in it stays in each of its rows.  An empty table gives an empty
-    one.  Columns named ``n_lines`` or ``removed_lines`` are replaced, all others kept.
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with repeated passages cut from the text, and ``n_lines, removed_lines, removed_parts`` added.
+
+    Lines end at newlines and are compared as they are, blank ones too; long ones are compared by their
+    parts, and what is left of one that is cut has single blanks between its words.  A document of fewer
+    than three lines and parts has no window.  A text all of whose lines go becomes empty; a null text
+    stays null, with no lines; an empty text has one, empty line.  ``removed_lines`` counts lines that go
+    as a whole.  Rows with a null id stay as they are.  Repeated rows of one id are one document: the
+    first occurrence in it stays in each of its rows.  An empty table gives an empty one.  Columns named
+    ``n_lines`` or ``removed_lines`` are replaced, all others kept.
     """
     cut = stage(repeated_ranges(docs, id_col, text_col), "ranges")
     cut = cut.withColumnsRenamed({"doc_id": "__cut_id", "ranges": "__cut_ranges"})
-    rows = docs.join(bounded(cut), F.col(id_col).cast("long") == F.col("__cut_id"), "left")
-
-    def kept(lines: Column) -> Column:
-        begins = F.concat(F.array(F.lit(0)), F.transform("__cut_ranges", lambda r: r["hi"] + 1))
-        ends = F.concat(F.transform("__cut_ranges", lambda r: r["lo"]), F.array(F.size(lines)))
-        parts = F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, F.greatest(b - a, F.lit(0))))
-        return F.array_join(F.flatten(parts), "\n")
-
-    lines = F.array(F.split(text_col, "\n"))
-    text = F.when(F.col("__cut_id").isNull(), F.col(text_col)).otherwise(F.get(F.transform(lines, kept), F.lit(0)))
-    removed = F.aggregate("__cut_ranges", F.lit(0), lambda n, r: n + r["hi"] - r["lo"] + 1)
+    rows = docs.join(bounded(cut, F.size("__cut_ranges")), F.col(id_col).cast("long") == F.col("__cut_id"), "left")
+    rows = rows.drop("__cut_id", "n_lines", *_REMOVED)
     n_lines = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"))) + 1
-    return rows.withColumns(
-        {
-            text_col: text,
-            "n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"),
-            "removed_lines": F.coalesce(removed, F.lit(0)).cast("long"),
-        }
-    ).drop("__cut_id", "__cut_ranges")
+    rows = rows.withColumn("n_lines", F.coalesce(n_lines, F.lit(0)).cast("long"))
+    rows = rows.withColumns({c: F.lit(0).cast("long") for c in _REMOVED})
+    names = [c for c in rows.columns if c != "__cut_ranges"]
+    ranges_at, *changed = (rows.columns.index(c) for c in ("__cut_ranges", text_col, *_REMOVED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, ranges = list(batch.columns), batch.column(ranges_at)
+            some = pc.and_(ranges.is_valid(), batch.column(changed[0]).is_valid())
+            if some.true_count:
+                new = [columns[c].to_pylist() for c in changed]
+                for i in np.flatnonzero(some.to_numpy(zero_copy_only=False)).tolist():
+                    for values, value in zip(new, without(new[0][i], ranges[i].as_py()), strict=True):
+                        values[i] = value
+                for c, values in zip(changed, new, strict=True):
+                    columns[c] = pa.array(values, type=columns[c].type)
+            kept = [i for i in range(len(columns)) if i != ranges_at]
+            yield pa.RecordBatch.from_arrays([columns[i] for i in kept], names=[batch.schema.names[i] for i in kept])
+
+    return rows.mapInArrow(run, rows.select(*[F.col(f"`{c}`") for c in names]).schema)

@@ -41,22 +41,43 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-LINE_SQL = """
+LINE_SQL = f"""
 WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no
   FROM documents WHERE text IS NOT NULL
+), cut_lines AS (SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM lines),
+words AS (SELECT doc_id, no, unnest(w) AS word, unnest(range(len(w))) AS i FROM cut_lines WHERE len(w) > {line_dedup.LONG}),
+ranked AS (SELECT *, lpad(length(word)::VARCHAR, 9, '0') || word AS r FROM words),
+best AS (
+  SELECT doc_id, no, i, word,
+    r > coalesce(max(r) OVER (l ROWS BETWEEN {line_dedup.REACH} PRECEDING AND 1 PRECEDING), '')
+    AND r >= coalesce(max(r) OVER (l ROWS BETWEEN 1 FOLLOWING AND {line_dedup.REACH} FOLLOWING), '') AS ends
+  FROM ranked WINDOW l AS (PARTITION BY doc_id, no ORDER BY i)
+), placed AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id, no ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
+  FROM best
+), parts AS (
+  SELECT doc_id, no, part, string_agg(word, ' ' ORDER BY i) AS said, true AS long FROM placed GROUP BY doc_id, no, part
+  UNION ALL SELECT doc_id, no, 0, line, false FROM cut_lines WHERE len(w) <= {line_dedup.LONG}
+), numbered AS (
+  SELECT *, long || ' ' || said AS name, row_number() OVER (PARTITION BY doc_id ORDER BY no, part) AS pos FROM parts
 ), windows AS (
-  SELECT doc_id, pos, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c
-  FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+  SELECT doc_id, pos, name AS a, lead(name) OVER d AS b, lead(name, 2) OVER d AS c
+  FROM numbered WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
   SELECT doc_id, pos FROM windows WHERE c IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1
 ), covered AS (
   SELECT DISTINCT doc_id, pos + step AS pos FROM later, (VALUES (0), (1), (2)) AS s (step)
+), told AS (
+  SELECT n.doc_id, n.no, count(*) AS n_parts, count(c.pos) AS n_gone,
+    string_agg(said, ' ' ORDER BY n.pos) FILTER (WHERE c.pos IS NULL) AS rest
+  FROM numbered n LEFT JOIN covered c ON n.doc_id = c.doc_id AND n.pos = c.pos GROUP BY n.doc_id, n.no
 ), cut AS (
-  SELECT l.doc_id, count(*) AS n_lines, count(c.pos) AS removed_lines,
-         coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE c.pos IS NULL), '') AS text
-  FROM lines l LEFT JOIN covered c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id
+  SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE n_gone = n_parts) AS removed_lines,
+    coalesce(string_agg(CASE WHEN n_gone = 0 THEN line ELSE rest END, chr(10) ORDER BY l.no)
+      FILTER (WHERE n_gone < n_parts), '') AS text
+  FROM lines l JOIN told t ON l.doc_id = t.doc_id AND l.no = t.no GROUP BY l.doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(removed_lines, 0) AS removed_lines, cut.text
 FROM documents d LEFT JOIN cut ON d.doc_id = cut.doc_id

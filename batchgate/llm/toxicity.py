@@ -227,14 +227,18 @@ def train(
 ) -> Chain:
     """Fit the chain on at most ``per_stratum`` labelled documents of each combination of labels.
 
-    ``labels`` has the id and a 0/1 column for each category.  Rows with a null are left out; of several
-    rows of an id the largest values count.  The sample is drawn by a hash of the id.  Without labelled
+    ``labels`` has the id and a 0/1 column for each category; other values are refused.  Rows with a null
+    are left out; of several rows of an id the largest values count, and one of its texts, chosen by hash.  The sample is drawn by a hash of the id.  Without labelled
     documents the chain has no models and predicts 0.
     """
     known = labels.select(F.col(id_col).cast("long").alias("_id"), *[F.col(c).cast("int") for c in categories])
     known = known.dropna().groupBy("_id").agg(*[F.max(c).alias(c) for c in categories])
     known = stage(known, "labels")
-    strata = known.groupBy(*categories).count().orderBy(*categories).limit(1 << len(categories)).collect()
+    odd = " or ".join(f"{c} not in (0, 1)" for c in categories)
+    if not known.where(odd).isEmpty():
+        raise ValueError(f"labels other than 0 and 1 in {', '.join(categories)}")
+    # One row for each combination of 0 and 1.
+    strata = known.groupBy(*categories).count().orderBy(*categories).collect()
     sample = None
     for s in strata:
         mine = known
@@ -247,6 +251,7 @@ def train(
     # A bounded number of rows: per_stratum for each combination of 0 and 1.
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("text").isNotNull()).join(F.broadcast(sample), "_id")
+    rows = rows.groupBy("_id", *categories).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

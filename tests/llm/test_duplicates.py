@@ -17,6 +17,21 @@ from batchgate.llm.components import components
 from .conftest import frame
 
 
+def line_parts(line):
+    """Words of each part of a line, or None for a line that is compared as it is."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
+    if len(words) <= line_dedup.LONG:
+        return [None]
+    key = [(len(w), w.encode()) for w in words]
+    parts, near = [[]], line_dedup.REACH
+    for i, w in enumerate(words):
+        parts[-1].append(w)
+        before, after = key[max(0, i - near) : i], key[i + 1 : i + 1 + near]
+        if i + 1 < len(words) and all(key[i] > k for k in before) and all(key[i] >= k for k in after):
+            parts.append([])
+    return parts
+
+
 def cut_lines(rows):
     """What should stay of each text, by reading all lines in order of id."""
     seen, out = set(), {}
@@ -24,13 +39,25 @@ def cut_lines(rows):
         if d in out:
             continue
         lines = text.split("\n")
+        units = [(n, p) for n, line in enumerate(lines) for p in line_parts(line)]
+        names = [lines[n] if p is None else tuple(p) for n, p in units]
         gone = set()
-        for i in range(len(lines) - 2):
-            window = tuple(lines[i : i + 3])
+        for i in range(len(names) - 2):
+            window = tuple(names[i : i + 3])
             if window in seen:
                 gone |= {i, i + 1, i + 2}
             seen.add(window)
-        out[d] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+        left, removed = [], 0
+        for n, line in enumerate(lines):
+            mine = [i for i, u in enumerate(units) if u[0] == n]
+            kept = [i for i in mine if i not in gone]
+            if kept == mine:
+                left.append(line)
+            elif kept:
+                left.append(" ".join(w for i in kept for w in units[i][1]))
+            else:
+                removed += 1
+        out[d] = ("\n".join(left), len(lines), removed)
     return out
 
 
@@ -40,7 +67,7 @@ def check_lines(llm, rows):
     assert len(got) == len(rows)
     for r in got:
         if r.doc_id is None or r.text is None:
-            assert r.removed_lines == 0
+            assert r.removed_lines == r.removed_parts == 0
         else:
             assert (r.text, r.n_lines, r.removed_lines) == want[r.doc_id]
             assert (r.kept, r.start) == ("x", "y")
@@ -55,6 +82,42 @@ def test_lines_of_random_texts(llm):
     check_lines(llm, [(d, "\n".join(rng.choice("abc ") for _ in range(rng.randint(1, 30)))) for d in range(60)])
 
 
+def test_passages_inside_long_lines(llm, words):
+    """60 words that two unrelated documents have inside a line, at its begin, or over two lines' ends."""
+    rng = random.Random(31)
+
+    def some(n):
+        return [rng.choice(words) + rng.choice(words) for _ in range(n)]
+
+    passage = some(60)
+    rows = [
+        (1, " ".join(some(40) + passage + some(30))),
+        (2, " ".join(some(10)) + "\n" + " ".join(passage + some(50))),
+        (3, " ".join(some(90))),
+        (4, "\n".join(" ".join(some(20)) for _ in range(8)) + " " + " ".join(passage)),
+    ]
+    check_lines(llm, rows)
+    got = {r.doc_id: r.text.split() for r in line_dedup.drop_repeated_lines(frame(llm, rows)).collect()}
+    assert got[1] == rows[0][1].split() and got[3] == rows[2][1].split()
+    for d in (2, 4):
+        left = sum(w in passage for w in got[d])
+        assert left <= 24
+        assert [w for w in got[d] if w not in passage] == [w for w in rows[d - 1][1].split() if w not in passage]
+
+
+def test_lines_of_long_random_texts(llm):
+    rng = random.Random(17)
+    texts = [" ".join(rng.choice(["a", "bb", "cé", "漢字", "ddd"]) for _ in range(rng.choice([5, 24, 25, 70]))) for _ in range(12)]
+    check_lines(llm, [(d, "\n".join(rng.choice(texts) for _ in range(rng.randint(1, 5)))) for d in range(60)])
+
+
+def test_ranges_with_many_entries_are_not_broadcast(llm, monkeypatch):
+    from batchgate.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
+    check_lines(llm, [(d, "a\nb\nc\n" + f"{d}\n" * 2 + "a\nb\nc") for d in range(9)])
+
+
 def test_lines_of_an_empty_table(llm):
     assert line_dedup.drop_repeated_lines(frame(llm, [])).count() == 0
 

@@ -167,3 +167,16 @@ def test_token_counts_of_odd_texts(llm, odd, pieces):
             assert r.log_prob == pytest.approx(sum(s for _, s in found))
     empty = token_counts.count_tokens(frame(llm, []), public_tokenizers.path("piece_bpe_32k.model"))
     assert empty.count() == 0
+
+
+def test_files_of_many_small_records(llm):
+    """Files are closed by records too, and each is read by a task of its own."""
+    docs = frame(llm, [(d, "") for d in range(1000)])
+    manifest = records.write_records(docs.coalesce(1), public_tokenizers.path("word_bpe_49k.json"), file_records=64)
+    held = manifest.collect()
+    assert all(m.n_records <= 64 for m in held) and sum(m.n_records for m in held) == 1000
+    got = records.read_records(manifest)
+    assert got.rdd.getNumPartitions() == len(held)
+    assert [r.doc_id for r in sorted(got.collect(), key=lambda r: r.start)] == list(range(1000))
+    mixed = records.read_records(manifest, seed=3)
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, got.collect()))
