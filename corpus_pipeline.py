@@ -26,10 +26,11 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of passages of three or more lines are cut from the texts."""
+    """Later occurrences of passages of three or more lines are cut from the texts; texts that lose all go."""
     ship(spark)
     cut = line_dedup.drop_repeated_lines(docs)
-    n_chars = F.when(F.col("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    cut = cut.where(~((F.col("removed_lines") > 0) & (F.col("removed_lines") == F.col("n_lines"))))
+    n_chars = F.when(F.col("removed_parts") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(docs.columns)
 
 
