@@ -2,7 +2,7 @@
 
 Every three consecutive lines of a document are a window, known by 128 bits of hash.  The first
 occurrence of a window, by document id and position, stays; later ones cover their lines, and lines that
-any later occurrence covers go.  Only hashes and positions are shuffled: once to find the windows that
+any later occurrence covers go.  Only hashes and positions are staged and shuffled: once to find the windows that
 occur more than once, combined before the shuffle, and once to find their later occurrences.
 
 A line of more than LONG words counts as several: it is cut after each word that is the longest, and of
@@ -13,7 +13,6 @@ every part has more than REACH words but the line's last.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,6 +33,8 @@ LONG, REACH = 24, 4
 SLICE = 1 << 20
 WINDOWS = "doc_id long, pos int, key struct<a: long, b: long>"
 _SALT = numbers(2 * WINDOW + 2, 41)
+_BASES = numbers(2, 44)
+_BYTES = [numbers(256, 45 + side) for side in (0, 1)]
 _REMOVED = ("removed_lines", "removed_parts")
 
 
@@ -41,13 +42,14 @@ class Layout(NamedTuple):
     """Lines and parts of some texts; parts are lines, or what long ones are cut into.
 
     ``lines`` of all texts, ``line_first`` of each text (and the end), ``part_first`` of each line (and the
-    end), ``words`` of all lines, and ``word_first`` of each part (and the end).
+    end), ``words`` of all lines, each distinct one once, ``word_first`` of each part (and the end), and
+    which lines are ``long``.
     """
 
     lines: list[str]
     line_first: np.ndarray
     part_first: np.ndarray
-    words: pa.Array
+    words: pa.DictionaryArray
     word_first: np.ndarray
     long: np.ndarray
 
@@ -74,8 +76,8 @@ def layout(texts: list[str]) -> Layout:
     begins = np.zeros(len(words) + 1, dtype=bool)
     begins[first[:-1][n > 0]] = True
     mine = np.repeat(long, n)
+    coded = words.dictionary_encode()
     if mine.any():
-        coded = words.dictionary_encode()
         known = pa.table({"n": pc.utf8_length(coded.dictionary.cast(pa.large_string())), "w": coded.dictionary})
         rank = np.empty(len(known), dtype=np.int64)
         rank[pc.sort_indices(known, [("n", "ascending"), ("w", "ascending")]).to_numpy()] = np.arange(len(known))
@@ -94,30 +96,43 @@ def layout(texts: list[str]) -> Layout:
     nth = np.arange(len(inner)) - np.searchsorted(line, line)
     word_first[part_first[line] + nth + 1] = inner
     word_first[-1] = len(words)
-    return Layout(lines, np.cumsum([0] + [len(e) for e in each]), part_first, words, word_first, long)
-
-
-def _digests(texts: list[bytes]) -> np.ndarray:
-    found = b"".join([hashlib.blake2b(t, digest_size=16).digest() for t in texts])
-    return np.frombuffer(found, dtype=np.uint64).reshape(-1, 2)
-
-
-def part_hashes(held: Layout) -> np.ndarray:
-    """128 bits for each part: of a line as it is, or of the words of a long line's part."""
-    out = np.empty((held.part_first[-1], 2), dtype=np.uint64)
-    short = np.flatnonzero(~held.long)
-    out[held.part_first[short]] = _digests([held.lines[i].encode("utf-8", "surrogatepass") for i in short])
+    return Layout(lines, np.cumsum([0] + [len(e) for e in each]), part_first, coded, word_first, long)
+
+
+def _bytes_hashed(values: pa.Array, side: int) -> np.ndarray:
+    """One number for each text: byte values times powers of an odd base, added up and mixed."""
+    values = values.cast(pa.large_binary())
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+    size = np.diff(ends)
+    out = np.zeros(len(values), dtype=np.uint64)
+    some = np.flatnonzero(size)
+    if len(some):
+        held = np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]]
+        begin = (ends[:-1] - ends[0])[some]
+        powers = np.multiply.accumulate(np.full(int(size.max()), _BASES[side], dtype=np.uint64))
+        place = np.arange(len(held)) - np.repeat(begin, size[some])
+        out[some] = np.add.reduceat(_BYTES[side][held] * powers[place], begin)
+    return mix(out + size.astype(np.uint64) * _SALT[side])
+
+
+def part_hashes(held: Layout) -> list[np.ndarray]:
+    """Two numbers for each part: of a line as it is, or of the words of a long line's part."""
+    short = pa.array(held.lines, type=pa.large_string()).filter(pa.array(~held.long))
     whole = np.repeat(held.long, np.diff(held.part_first))
-    if whole.any():
-        first, last = held.word_first[:-1][whole], held.word_first[1:][whole]
-        coded = held.words.dictionary_encode()
-        word = _digests(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        size = last - first
-        at = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        place = numbers(int(size.max()), 43)[np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)]
-        for side in (0, 1):
-            total = np.add.reduceat(mix(word[at, side] + _SALT[side]) * place, np.cumsum(size) - size)
-            out[whole, side] = mix(total + size.astype(np.uint64))
+    first, size = held.word_first[:-1][whole], np.diff(held.word_first)[whole]
+    begin = np.cumsum(size) - size
+    place = np.arange(size.sum()) - np.repeat(begin, size)
+    code = held.words.indices.to_numpy()[place + np.repeat(first, size)]
+    weight = numbers(int(size.max()) if len(size) else 1, 43)[place]
+    out = []
+    for side in (0, 1):
+        h = np.empty(len(whole), dtype=np.uint64)
+        h[~whole] = _bytes_hashed(short, side)
+        if len(size):
+            word = _bytes_hashed(held.words.dictionary, side)
+            h[whole] = mix(np.add.reduceat(word[code] * weight, begin) + size.astype(np.uint64))
+        out.append(h)
     return out
 
 
@@ -149,7 +164,7 @@ def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for side in (0, 1):
                     total = np.zeros(len(at), dtype=np.uint64)
                     for j in range(WINDOW):
-                        total = mix(total + h[at + j, side] * _SALT[2 + 2 * j + side])
+                        total = mix(total + h[side][at + j] * _SALT[2 + 2 * j + side])
                     keys.append(pa.array(total.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -166,7 +181,7 @@ def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ranges``: first and last part, from 0, of each stretch that later occurrences cover."""
-    window = _windows(docs, id_col, text_col)
+    window = stage(_windows(docs, id_col, text_col), "windows")
     place = F.struct("doc_id", "pos")
     first = window.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     later = splittable(window, first.where("n > 1").drop("n"), "key", "inner")
@@ -182,24 +197,33 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return merged.groupBy("doc_id").agg(ranges.alias("ranges"))
 
 
-def without(text: str, ranges: list[dict]) -> tuple[str, int, int]:
-    """The text without the parts in ``ranges``, and how many lines and parts went; words left of a line are joined."""
-    held = layout([text])
-    gone = np.zeros(held.part_first[-1], dtype=bool)
-    for r in ranges:
-        gone[r["lo"] : r["hi"] + 1] = True
-    left, removed = [], 0
-    for i, line in enumerate(held.lines):
-        mine = gone[held.part_first[i] : held.part_first[i + 1]]
-        if mine.all():
-            removed += 1
-        elif mine.any():
-            keep = held.part_first[i] + np.flatnonzero(~mine)
-            words = [held.words[int(w)].as_py() for p in keep for w in range(held.word_first[p], held.word_first[p + 1])]
-            left.append(b" ".join(words).decode("utf-8", "surrogatepass"))
-        else:
-            left.append(line)
-    return "\n".join(left), removed, int(gone.sum())
+def without(texts: list[str], ranges: list[list[dict]]) -> Iterator[tuple[str, int, int]]:
+    """Each text without the parts in its ranges, and how many lines and parts went.
+
+    What is left of a line that is cut has single blanks between its words.
+    """
+    for a, b in _slices(texts):
+        held = layout(texts[a:b])
+        gone = np.zeros(held.part_first[-1] + 1, dtype=np.int32)
+        first = held.part_first[held.line_first]
+        for t, mine in enumerate(ranges[a:b]):
+            gone[[first[t] + r["lo"] for r in mine]] += 1
+            gone[[first[t] + r["hi"] + 1 for r in mine]] -= 1
+        left = np.cumsum(gone[:-1]) == 0
+        kept = np.add.reduceat(left.astype(np.int64), held.part_first[:-1])
+        size = np.diff(held.part_first)
+        for t in range(b - a):
+            out, removed = [], 0
+            for i in range(held.line_first[t], held.line_first[t + 1]):
+                if kept[i] == size[i]:
+                    out.append(held.lines[i])
+                elif kept[i]:
+                    parts = held.part_first[i] + np.flatnonzero(left[held.part_first[i] : held.part_first[i + 1]])
+                    words = np.concatenate([np.arange(held.word_first[p], held.word_first[p + 1]) for p in parts])
+                    out.append(b" ".join(held.words.take(pa.array(words)).to_pylist()).decode())
+                else:
+                    removed += 1
+            yield "\n".join(out), removed, int((~left[first[t] : first[t + 1]]).sum())
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,9 +253,11 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             some = pc.and_(ranges.is_valid(), batch.column(changed[0]).is_valid())
             if some.true_count:
                 new = [columns[c].to_pylist() for c in changed]
-                for i in np.flatnonzero(some.to_numpy(zero_copy_only=False)).tolist():
-                    for values, value in zip(new, without(new[0][i], ranges[i].as_py()), strict=True):
-                        values[i] = value
+                rows_cut = np.flatnonzero(some.to_numpy(zero_copy_only=False)).tolist()
+                found = without([new[0][i] for i in rows_cut], [ranges[i].as_py() for i in rows_cut])
+                for i, value in zip(rows_cut, found, strict=True):
+                    for values, v in zip(new, value, strict=True):
+                        values[i] = v
                 for c, values in zip(changed, new, strict=True):
                     columns[c] = pa.array(values, type=columns[c].type)
             kept = [i for i in range(len(columns)) if i != ranges_at]
