@@ -1,46 +1,44 @@
 """Licences of files by sparse TF-IDF cosine and directory inheritance, in SQL functions (operator 7).
 
-A file's lines, and its text as a whole, are compared with templates of licence notices.  Terms weigh by
-their inverse document frequency among the templates; a term that no template has weighs most, so that a
-line is the less like a notice the more else it says.  Terms count once in a unit.  A file whose first
-line or whole text is a notice declares its directory's licence; a file without a notice of its own has
-that of the nearest directory above it that declares one.
-
-Almost all lines drop out in the scan, by a bound: the squared cosine is at most the share of a unit's
-terms that occur in templates.  Only the terms of the others are joined with the templates' weights.
+A file's lines, its blocks (between blank lines), its paragraphs (between lines without letters and
+digits, as in comments) and its text as a whole are units.  They are compared with templates: notices,
+SPDX tags, titles, headers of source files and full texts.  A term weighs by the square root of its count,
+times its inverse document frequency among the templates; one that no template has weighs most, so that a
+unit is the less like a template the more else it says.
+
+A file named like a licence (LICENSE, COPYING, NOTICE, UNLICENSE) declares its directory's licence by any
+unit, others by their first line, block or paragraph or as a whole.  A file without a licence of its own
+has that of the nearest directory above it that declares one.
+
+Almost all texts and units drop out in the scan, by bounds that lose nothing.  What a unit shares with a
+template is all that its cosine comes from: a unit must hold one of a template's heaviest terms, as the
+others together are too light; and known terms must be half of the unit's own squared norm.  Only what is
+left is joined with the templates' weights.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter, defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import let, splittable
+from batchgate.llm.licence_texts import TEMPLATES
 
-# Short notices of common licences.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-)
 TERM = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
+BLOCK = r"\n[ \t\r\n]*\n"
+PARAGRAPH = r"\n[^\p{L}\p{N}]*\n"
+#: Names of files that declare a licence wherever in them it is said.
+LICENCE_FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying|notice)[^/]*$"
 #: Templates go to every task.
 MOST_TEMPLATES = 4096
 
 
 def terms(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    """All terms of a text, as often as they occur."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 class Weights:
@@ -50,60 +48,103 @@ class Weights:
         if len(templates) > MOST_TEMPLATES:
             raise ValueError(f"more than {MOST_TEMPLATES} templates")
         rows = spark.createDataFrame([*templates], "license string, notice string")
-        held = [(r.license, r.t) for r in rows.select("license", terms(F.col("notice")).alias("t")).collect()]
+        held = [(r.license, Counter(r.t)) for r in rows.select("license", terms(F.col("notice")).alias("t")).collect()]
         n = len(held)
+        among = Counter(t for _, ts in held for t in ts)
         self.unknown = math.log(1 + n) + 1
-        found = sorted({t for _, ts in held for t in ts})
-        self.weight = {t: math.log((1 + n) / (1 + sum(t in ts for _, ts in held))) + 1 for t in found}
-        norm = {i: math.sqrt(sum(self.weight[t] ** 2 for t in ts)) for i, (_, ts) in enumerate(held)}
-        parts = [(t, name, i, self.weight[t], norm[i]) for i, (name, ts) in enumerate(held) for t in ts]
-        self.table = spark.createDataFrame(parts, "term string, license string, template int, w double, norm double")
-
-    @property
-    def known(self) -> Column:
-        return F.array(*map(F.lit, self.weight)).cast("array<string>")
+        self.weight = {t: math.log((1 + n) / (1 + c)) + 1 for t, c in sorted(among.items())}
+        self.parts = [
+            {t: math.sqrt(c) * self.weight[t] for t, c in sorted(ts.items())} for _, ts in held
+        ]
+        norms = [math.sqrt(sum(v * v for v in p.values())) for p in self.parts]
+        rows = [
+            (t, name, i, self.weight[t], v / norms[i]) for i, (name, _) in enumerate(held) for t, v in self.parts[i].items()
+        ]
+        self.table = spark.createDataFrame(rows, "term string, license string, template int, w double, share double")
+
+    def anchors(self, least: float) -> set[str]:
+        """Of each template the heaviest terms, so many that the others cannot make a cosine of ``least``."""
+        found = set()
+        for part in self.parts:
+            rest = sum(v * v for v in part.values())
+            bound = least * least * rest * (1 - 1e-9)
+            for t, v in sorted(part.items(), key=lambda p: (-p[1], p[0])):
+                if rest < bound:
+                    break
+                found.add(t)
+                rest -= v * v
+        return found
+
+    def square(self, said: Column) -> Column:
+        """Sum of the squared weights of known terms, in the order given."""
+        by_weight = defaultdict(list)
+        for t, w in self.weight.items():
+            by_weight[w].append(t)
+
+        def squared(t: Column) -> Column:
+            chosen = F.lit(0.0)
+            for w, ts in by_weight.items():
+                chosen = F.when(t.isin(ts), w * w).otherwise(chosen)
+            return chosen
+
+        return F.aggregate(said, F.lit(0.0), lambda s, t: s + squared(t))
 
 
 def own_licences(
-    docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text", least: float = 0.7
+    docs: DataFrame,
+    templates=TEMPLATES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least: float = 0.7,
 ) -> DataFrame:
     """``id, license, cosine, declares`` for each id with a unit whose cosine is at least ``least``.
 
-    The best unit counts; of equal ones the first licence by name, then the first line.  The cosine is
-    rounded to six digits.
+    The best unit counts; of equal ones the first licence by name.  The cosine is rounded to six digits.
+    ``declares`` says whether a first unit is among those found.
     """
-    spark = docs.sparkSession
-    weights = Weights(spark, templates)
+    weights = Weights(docs.sparkSession, templates)
+    # Cosines are rounded before they are compared.
+    bound = least - 1e-6
+    known, anchors = [*weights.weight], [*weights.anchors(bound)]
 
-    def unit(line: Column, at: Column) -> Column:
+    def unit(text: Column, at: Column) -> Column:
         return let(
-            terms(line),
-            lambda t: F.struct(at.alias("at"), F.size(t).alias("n"), F.array_intersect(t, weights.known).alias("known")),
+            terms(text),
+            lambda t: F.struct(
+                (at == 0).alias("first"),
+                F.size(t).alias("n"),
+                F.array_join(F.array_sort(F.filter(t, lambda x: x.isin(known))), " ").alias("said"),
+            ),
         )
 
-    def units(lines: Column) -> Column:
-        return F.concat(F.transform(lines, unit), F.array(unit(F.array_join(lines, "\n"), F.lit(-1))))
+    def units(parts: Column) -> Column:
+        return F.transform(parts, unit)
+
+    def near(u: Column) -> Column:
+        heaviest = max(weights.weight.values(), default=0.0) ** 2
+        k = F.size(F.split(u["said"], " "))
+        light = k * heaviest >= bound * bound * (k * heaviest + (u["n"] - k) * weights.unknown**2)
+        return (u["said"] != "") & light
 
-    held = let(F.split(text_col, "\n"), units)
-    near = F.filter(held, lambda u: F.size(u["known"]) >= F.greatest(F.lit(1.0), least * least * u["n"] - 1e-9))
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(id_col).cast("long").alias("id"), F.explode(near).alias("u")).distinct()
-    square = F.aggregate(
-        "u.known",
-        F.lit(0.0),
-        lambda s, t: s + F.pow(F.element_at(F.create_map(*[F.lit(x) for p in weights.weight.items() for x in p]), t), F.lit(2.0)),
-    )
-    size = F.sqrt(square + (F.col("u.n") - F.size("u.known")) * weights.unknown**2)
-    word = rows.select("id", "u.at", size.alias("size"), F.explode("u.known").alias("term"))
-    dot = word.join(F.broadcast(weights.table), "term")
-    dot = dot.groupBy("id", "at", "size", "license", "template", "norm").agg(F.sum(F.col("w") * F.col("w")).alias("dot"))
-    cosine = F.round(F.col("dot") / (F.col("size") * F.col("norm")), 6)
-    dot = dot.withColumn("cosine", cosine).where(F.col("cosine") >= least)
-    best = F.min(F.struct((-F.col("cosine")).alias("c"), "license", "at")).alias("b")
-    out = dot.groupBy("id").agg(best, F.min("at").alias("first"))
-    return out.select(
-        "id", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"), (F.col("first") <= 0).alias("declares")
-    )
+    rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = rows.where(F.exists(terms(F.col("text")), lambda t: t.isin(anchors)))
+    parts = [F.split("text", "\n"), F.split("text", BLOCK), F.split("text", PARAGRAPH), F.array("text")]
+    held = F.concat(*[F.filter(units(p), near) for p in parts])
+    rows = rows.select("id", F.explode(held).alias("u")).select("id", "u.*").distinct()
+
+    known_terms = F.split("said", " ")
+    rows = rows.withColumn("square", weights.square(known_terms))
+    size = F.sqrt(F.col("square") + (F.col("n") - F.size(known_terms)) * weights.unknown**2)
+    rows = rows.withColumn("size", size).where(F.col("square") >= bound * bound * F.col("size") * F.col("size"))
+    unit_key = ["id", "first", "n", "said", "size"]
+    word = rows.select(*unit_key, F.explode(known_terms).alias("term")).groupBy(*unit_key, "term").count()
+    dot = word.join(F.broadcast(weights.table), "term").groupBy(*unit_key, "license", "template")
+    dot = dot.agg(F.sum(F.sqrt("count") * F.col("w") * F.col("share")).alias("dot"))
+    dot = dot.withColumn("cosine", F.round(F.col("dot") / F.col("size"), 6)).where(F.col("cosine") >= least)
+    best = F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")
+    out = dot.groupBy("id").agg(best, F.max("first").alias("declares"))
+    return out.select("id", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"), "declares")
 
 
 def scan(
@@ -127,7 +168,8 @@ def scan(
     names = files.select(F.col(id_col).cast("long").alias("id"), F.col(path_col).alias("path"))
     file = splittable(names.withColumn("folder", folder), own, "id", "left")
 
-    said = file.where(F.col("declares") & F.col("folder").isNotNull())
+    declares = F.col("declares") | (F.col("license").isNotNull() & F.col("path").rlike(LICENCE_FILE))
+    said = file.where(declares & F.col("folder").isNotNull())
     said = said.groupBy("folder").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license", "path")).alias("b"))
     said = said.select(F.col("folder").alias("above"), F.col("b.license").alias("said"))
 

@@ -120,34 +120,46 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("contaminated", F.size("item_ids") > 0)
 
 
-_NOTICES = ", ".join(f"('{name}', '{notice}')" for name, notice in licenses.TEMPLATES)
-_TERMS = f"list_distinct(regexp_extract_all(lower(%s), '{licenses.TERM}'))"
+_NOTICES = ", ".join(
+    "({}, '{}', '{}')".format(i, name, notice.replace("'", "''")) for i, (name, notice) in enumerate(licenses.TEMPLATES)
+)
+_TERMS = f"regexp_extract_all(lower(%s), '{licenses.TERM}')"
+_UNKNOWN = f"ln(1 + {len(licenses.TEMPLATES)}) + 1"
 LICENSE_SQL = f"""
-WITH notices (license, notice) AS (VALUES {_NOTICES}),
-known AS (SELECT license, unnest({_TERMS % "notice"}) AS term FROM notices),
+WITH notices (template, license, notice) AS (VALUES {_NOTICES}),
+known AS (
+  SELECT template, license, term, count(*) AS n
+  FROM (SELECT template, license, unnest({_TERMS % "notice"}) AS term FROM notices) GROUP BY template, license, term
+),
 weights AS (SELECT term, ln((1 + {len(licenses.TEMPLATES)})::DOUBLE / (1 + count(*))) + 1 AS w FROM known GROUP BY term),
-templates AS (SELECT license, sqrt(sum(w * w)) AS norm FROM known JOIN weights USING (term) GROUP BY license),
-units AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
-  FROM documents UNION ALL SELECT doc_id, text, -1 FROM documents
+templates AS (SELECT template, sqrt(sum(n * w * w)) AS norm FROM known JOIN weights USING (term) GROUP BY template),
+cuts AS (
+  SELECT doc_id, 'line' AS kind, string_split(text, chr(10)) AS parts FROM documents
+  UNION ALL SELECT doc_id, 'block', string_split_regex(text, '{licenses.BLOCK}') FROM documents
+  UNION ALL SELECT doc_id, 'paragraph', string_split_regex(text, '{licenses.PARAGRAPH}') FROM documents
+  UNION ALL SELECT doc_id, 'whole', [text] FROM documents
+),
+units AS (SELECT doc_id, kind, unnest(parts) AS said, unnest(range(len(parts))) AS place FROM cuts),
+words AS (
+  SELECT doc_id, kind, place, term, count(*) AS n
+  FROM (SELECT doc_id, kind, place, unnest({_TERMS % "said"}) AS term FROM units) GROUP BY ALL
 ),
-words AS (SELECT doc_id, place, unnest({_TERMS % "line"}) AS term FROM units),
 sizes AS (
-  SELECT doc_id, place, sqrt(sum(coalesce(w * w, pow(ln(1 + {len(licenses.TEMPLATES)}) + 1, 2)))) AS size
-  FROM words LEFT JOIN weights USING (term) GROUP BY doc_id, place
+  SELECT doc_id, kind, place, sqrt(sum(words.n * coalesce(w * w, pow({_UNKNOWN}, 2)))) AS size
+  FROM words LEFT JOIN weights USING (term) GROUP BY doc_id, kind, place
 ),
 dots AS (
-  SELECT doc_id, place, license, sum(w * w) AS dot
-  FROM words JOIN known USING (term) JOIN weights USING (term) GROUP BY doc_id, place, license
+  SELECT doc_id, kind, place, template, license, sum(sqrt(words.n) * sqrt(known.n) * w * w) AS dot
+  FROM words JOIN known USING (term) JOIN weights USING (term) GROUP BY doc_id, kind, place, template, license
 ),
 near AS (
   SELECT doc_id, place, license, round(dot / (size * norm), 6) AS cosine
-  FROM dots JOIN sizes USING (doc_id, place) JOIN templates USING (license)
+  FROM dots JOIN sizes USING (doc_id, kind, place) JOIN templates USING (template)
 ),
 own AS (
-  SELECT doc_id, license, cosine, min(place) OVER (PARTITION BY doc_id) <= 0 AS declares
+  SELECT doc_id, license, cosine, min(place) OVER (PARTITION BY doc_id) = 0 AS declares
   FROM near WHERE cosine >= 0.7
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license, place) = 1
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license) = 1
 ),
 files AS (
   SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS folder FROM (

@@ -130,27 +130,6 @@ def test_licences_of_files_and_of_directories_above(llm):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
-def test_the_bound_on_cosines_loses_no_line(llm):
-    """Cosines of all lines by plain code."""
-    docs = pd.read_parquet(f"{SMALL}/documents.parquet")
-    weights = licenses.Weights(llm, licenses.TEMPLATES)
-    lines = sorted({x for t in docs.text for x in t.split("\n")})
-    cut = llm.createDataFrame([(x,) for x in lines], "x string").select(licenses.terms(F.col("x")))
-    templates = {}
-    for r in weights.table.collect():
-        templates.setdefault(r.license, {})[r.term] = r.w
-    near = 0
-    for (ts,) in cut.collect():
-        size = sum(weights.weight.get(t, weights.unknown) ** 2 for t in ts) ** 0.5
-        best = max(
-            (sum(w * w for t, w in p.items() if t in ts) / size / sum(w * w for w in p.values()) ** 0.5 for p in templates.values()),
-            default=0,
-        ) if size else 0
-        near += best >= 0.7
-        assert best < 0.7 or sum(t in weights.weight for t in ts) >= 0.49 * len(ts)
-    assert near >= 4
-
-
 def test_languages_of_held_out_documents(llm):
     got = queries.QUERIES["op9_language_id"](llm, SMALL).toPandas()
     docs = pd.read_parquet(f"{SMALL}/documents.parquet")
