@@ -4,16 +4,16 @@ A file's lines, its blocks (between blank lines), its paragraphs (between lines
 digits, as in comments) and its text as a whole are units.  They are compared with templates: notices,
 SPDX tags, titles, headers of source files and full texts.  A term weighs by the square root of its count,
 times its inverse document frequency among the templates; one that no template has weighs most, so that a
-unit is the less like a template the more else it says.
+unit is the less like a template the more else it says.  One term alone is no licence, as "mit" is a word of
+some languages: a unit has two different ones of a template.
 
 A file named like a licence (LICENSE, COPYING, NOTICE, UNLICENSE) declares its directory's licence by any
 unit, others by their first line, block or paragraph or as a whole.  A file without a licence of its own
 has that of the nearest directory above it that declares one.
 
-Almost all texts and units drop out in the scan, by bounds that lose nothing.  What a unit shares with a
-template is all that its cosine comes from: a unit must hold one of a template's heaviest terms, as the
-others together are too light; and known terms must be half of the unit's own squared norm.  Only what is
-left is joined with the templates' weights.
+Almost all texts and units drop out in the scan, by bounds that lose nothing: the squared cosine is at most
+the share of a template's squared norm that a text holds, and the share of a unit's that is in templates.
+Only what is left is joined with the templates' weights.
 """
 
 from __future__ import annotations
@@ -62,18 +62,23 @@ class Weights:
         ]
         self.table = spark.createDataFrame(rows, "term string, license string, template int, w double, share double")
 
-    def anchors(self, least: float) -> set[str]:
-        """Of each template the heaviest terms, so many that the others cannot make a cosine of ``least``."""
-        found = set()
+    def reachable(self, held: Column, least: float) -> Column:
+        """Whether a unit of these different terms could have a cosine of ``least`` with some template."""
+        bags = []
         for part in self.parts:
-            rest = sum(v * v for v in part.values())
-            bound = least * least * rest * (1 - 1e-9)
-            for t, v in sorted(part.items(), key=lambda p: (-p[1], p[0])):
-                if rest < bound:
-                    break
-                found.add(t)
-                rest -= v * v
-        return found
+            whole = sum(v * v for v in part.values())
+            shares = F.create_map(*[F.lit(x) for t, v in part.items() for x in (t, v * v / whole)])
+            bags.append(F.struct(F.array(*map(F.lit, part)).alias("terms"), shares.alias("shares")))
+
+        def shared(bag: Column) -> Column:
+            common = F.array_intersect(bag["terms"], held)
+            return let(
+                common,
+                lambda c: (F.size(c) >= 2)
+                & (F.aggregate(c, F.lit(0.0), lambda s, t: s + F.element_at(bag["shares"], t)) >= least * least - 1e-9),
+            )
+
+        return F.exists(F.array(*bags), shared) if bags else F.lit(False)
 
     def square(self, said: Column) -> Column:
         """Sum of the squared weights of known terms, in the order given."""
@@ -105,7 +110,11 @@ def own_licences(
     weights = Weights(docs.sparkSession, templates)
     # Cosines are rounded before they are compared.
     bound = least - 1e-6
-    known, anchors = [*weights.weight], [*weights.anchors(bound)]
+    known = [*weights.weight]
+
+    def some(text: Column) -> Column:
+        held = F.array_distinct(F.filter(terms(text), lambda t: t.isin(known)))
+        return let(held, lambda h: (F.size(h) >= 2) & weights.reachable(h, bound))
 
     def unit(text: Column, at: Column) -> Column:
         return let(
@@ -128,7 +137,7 @@ def own_licences(
 
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.where(F.exists(terms(F.col("text")), lambda t: t.isin(anchors)))
+    rows = rows.where(some(F.col("text")))
     parts = [F.split("text", "\n"), F.split("text", BLOCK), F.split("text", PARAGRAPH), F.array("text")]
     held = F.concat(*[F.filter(units(p), near) for p in parts])
     rows = rows.select("id", F.explode(held).alias("u")).select("id", "u.*").distinct()
@@ -140,8 +149,8 @@ def own_licences(
     unit_key = ["id", "first", "n", "said", "size"]
     word = rows.select(*unit_key, F.explode(known_terms).alias("term")).groupBy(*unit_key, "term").count()
     dot = word.join(F.broadcast(weights.table), "term").groupBy(*unit_key, "license", "template")
-    dot = dot.agg(F.sum(F.sqrt("count") * F.col("w") * F.col("share")).alias("dot"))
-    dot = dot.withColumn("cosine", F.round(F.col("dot") / F.col("size"), 6)).where(F.col("cosine") >= least)
+    dot = dot.agg(F.sum(F.sqrt("count") * F.col("w") * F.col("share")).alias("dot"), F.count("*").alias("shared"))
+    dot = dot.withColumn("cosine", F.round(F.col("dot") / F.col("size"), 6)).where((F.col("cosine") >= least) & (F.col("shared") >= 2))
     best = F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")
     out = dot.groupBy("id").agg(best, F.max("first").alias("declares"))
     return out.select("id", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"), "declares")

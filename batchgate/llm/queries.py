@@ -150,7 +150,8 @@ sizes AS (
 ),
 dots AS (
   SELECT doc_id, kind, place, template, license, sum(sqrt(words.n) * sqrt(known.n) * w * w) AS dot
-  FROM words JOIN known USING (term) JOIN weights USING (term) GROUP BY doc_id, kind, place, template, license
+  FROM words JOIN known USING (term) JOIN weights USING (term)
+  GROUP BY doc_id, kind, place, template, license HAVING count(*) > 1
 ),
 near AS (
   SELECT doc_id, place, license, round(dot / (size * norm), 6) AS cosine

@@ -40,6 +40,7 @@ def plain(texts, templates=licence_texts.TEMPLATES, least=0.7):
                     seen[part] = [
                         (-round(sum(math.sqrt(c * bag[t]) * weight[t] ** 2 for t, c in held.items() if t in bag) / size / norm, 6), name)
                         for (name, held), norm in zip(bags, norms, strict=True)
+                        if len(held.keys() & bag.keys()) > 1
                     ] if size else []
                 found += [(c, name, at == 0) for c, name in seen[part] if -c >= least]
         if found:
@@ -108,6 +109,7 @@ def test_headers_tags_and_licence_files(llm):
         (11, "l/m.go", "// SPDX-License-Identifier: LGPL-2.1-or-later\n"),
         (12, "n/o.txt", "The license of a driver is public; its version is 2.0 and the terms are free."),
         (13, "p/q.txt", "// SPDX-License-Identifier: Zlib"),
+        (14, "r/s.txt", "er kam\nmit\n\nmit\n\nihr"),
     ]
     files = llm.createDataFrame(rows, "doc_id long, path string, text string")
     got = {r.id: (r.license, r.origin, r.license_dir) for r in licenses.scan(files).collect()}
@@ -125,6 +127,7 @@ def test_headers_tags_and_licence_files(llm):
         11: ("LGPL-2.1", "own", None),
         12: (None, "none", None),
         13: (None, "none", None),
+        14: (None, "none", None),
     }
 
 
