@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from batchgate.catalog import query
+from batchgate.catalog.sheetdata import fresh_folder
 from batchgate.catalog.tables import EVENT_CUTOFF, TAGGED_SQL, event_applies, event_recaptures, table, tagged_events
 from batchgate.operators import linkage as k
 from batchgate.operators.formats import check_formats
+from batchgate.operators.joins import splittable_on
+from batchgate.sources import tagstore
 
 _APPLIES = (
     "with "
@@ -191,6 +194,31 @@ def growth_asof(spark, sf):
     return grown.select("recap_id", "recap_tag", "apply_id", F.round("expected", 4).alias("expected"))
 
 
+#: Buckets of the query's stored state: at 100 million tags some 150 MB each.
+TAG_BUCKETS = 64
+
+
+@query(
+    "q_tag_store",
+    _APPLIES
+    + """select l.fish_id as recap_id, l.tag as recap_tag, l.problem, l.apply_id, a.fish_id as latest_id, a.value as latest_length
+from linked l left join latest a on a.tag = l.tag""",
+)
+def tag_store(spark, sf):
+    """History's tags stored in buckets, the season's merged into them, and recaptures linked to what is stored."""
+    folder = fresh_folder(spark)
+    applies, recaptures = event_applies(spark, sf), event_recaptures(spark, sf)
+    history = tagstore.save_tags(k.tag_state(applies.filter("source = 0")), f"{folder}/history", TAG_BUCKETS)
+    merged = tagstore.merge_tags(history, k.tag_state(applies.filter("source = 1")), f"{folder}/merged")
+    kept = merged.asked(recaptures)
+    linked = k.link_recaptures(recaptures, k.first_applies(kept))
+    latest = k.last_applies(kept).select(
+        F.col("tag").alias("latest_tag"), F.col("apply_id").alias("latest_id"), F.col("apply_length").alias("latest_length")
+    )
+    linked = linked.join(latest, splittable_on([linked["recap_tag"]], [latest["latest_tag"]]), "left")
+    return linked.select("recap_id", "recap_tag", "problem", "apply_id", "latest_id", "latest_length")
+
+
 _FORMAT = r"^[0-9]{2}-[0-4]$"
 
 

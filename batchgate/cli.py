@@ -17,6 +17,7 @@ from batchgate.plans.admit import RECORDS, VIOLATIONS, JUDGED_SCHEMA, BatchConfi
 from batchgate.sources.accumulators import load_or_init
 from batchgate.sources.reference import reference_table
 from batchgate.sources.sheets import HEADER_ROWS
+from batchgate.sources.tagstore import open_tags
 from batchgate.streaming.incremental import replay_quarantine, run_incremental
 
 TABLES = ("lakes", "sites", "otu", "samples", "records")
@@ -35,6 +36,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--growth", action="store_true", help="also test growth since tagging")
     p.add_argument("--tags-as-of", action="store_true", help="compare recaptures with the latest apply up to their day")
     p.add_argument("--tag-placeholders", nargs="*", default=[], metavar="TEXT", help="texts that stand for an unreadable tag")
+    p.add_argument("--tags", help="stored state of the reference's tags, so that its records are not read for them")
+    p.add_argument("--tag-buckets", type=int, default=256, help="buckets that state is stored in")
     p.add_argument("--timestamp-formats", nargs="*", default=[], metavar="FORMAT", help="further formats of times in headers")
     p.add_argument("--retired-projects", nargs="*", type=int, default=list(fish.RETIRED_PROJECTS), metavar="ID")
     p.add_argument("--pit-pattern")
@@ -58,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         mode=args.mode or "batch",
         force=tuple(args.force),
         overrides=spark.read.schema(OVERRIDE_SCHEMA).parquet(args.overrides) if args.overrides else None,
+        tags=open_tags(spark, args.tags, args.tag_buckets) if args.tags else None,
         options=fish.Options(
             growth=args.growth,
             tags_as_of=args.tags_as_of,

@@ -32,14 +32,17 @@ def drop_placeholders(df: DataFrame, column: str, placeholders: tuple[str, ...]
     return df.filter(~F.col(column).isin(*placeholders)) if placeholders else df
 
 
-def only_asked(per_tag: DataFrame, recaptures: DataFrame) -> DataFrame:
+def only_asked(per_tag: DataFrame, recaptures: DataFrame, buckets: int | None = None) -> DataFrame:
     """Rows of a per-tag table (registry, latest applies) whose tag is recaptured.
 
     Apply it to the grouped table: where the recaptured tags are small enough to broadcast, Catalyst
     moves the semi join below the grouping and history is filtered as it is scanned; where they are
-    not, history is still combined per tag before it is shuffled.
+    not, history is still combined per tag before it is shuffled.  A table stored in ``buckets`` by tag
+    is read in place: the tags, one row each, are dealt to its buckets.
     """
     asked = recaptures.select(F.col("recap_tag").alias("asked_tag")).distinct()
+    if buckets is not None:
+        asked = asked.repartition(buckets, "asked_tag")
     return per_tag.join(asked, per_tag["tag"] == asked["asked_tag"], "left_semi")
 
 
@@ -82,6 +85,43 @@ def latest_apply(applies: DataFrame) -> DataFrame:
     return last.select("tag", "a.apply_date", "a.source", "a.apply_id", "a.apply_length", "a.apply_species")
 
 
+_LATEST_ORDER = ("no_date", "apply_date", "source", "apply_id", "apply_length", "apply_species")
+
+
+def tag_state(applies: DataFrame) -> DataFrame:
+    """``tag, first, last``: what :func:`tag_registry` and :func:`latest_apply` keep of each tag, in one pass.
+
+    States of parts of history merge to that of the whole (:func:`merge_tag_states`).
+    """
+    last = F.when(F.col("apply_length").isNotNull(), F.struct(*_LATEST_ORDER))
+    dated = applies.withColumn("no_date", F.col("apply_date").isNull())
+    return dated.groupBy("tag").agg(F.min(F.struct(*_REGISTRY_ORDER)).alias("first"), F.max(last).alias("last"))
+
+
+def merge_tag_states(kept: DataFrame, new: DataFrame) -> DataFrame:
+    """The state of both parts of history; each has one row per tag.
+
+    A full join, so that a kept state that is stored in buckets is not shuffled (:mod:`sources.tagstore`).
+    """
+    more = new.select(F.col("tag").alias("new_tag"), F.col("first").alias("new_first"), F.col("last").alias("new_last"))
+    return kept.join(more, kept["tag"] == more["new_tag"], "full").select(
+        F.coalesce("tag", "new_tag").alias("tag"),
+        F.least("first", "new_first").alias("first"),
+        F.greatest("last", "new_last").alias("last"),
+    )
+
+
+def first_applies(state: DataFrame) -> DataFrame:
+    """The first apply of each tag of a state, in the form of applies."""
+    return state.select("tag", *[F.col("first")[c].alias(c) for c in _REGISTRY_ORDER if c != "no_date"])
+
+
+def last_applies(state: DataFrame) -> DataFrame:
+    """The last measured apply of each tag of a state that has one, in the form of applies."""
+    measured = state.filter(F.col("last").isNotNull())
+    return measured.select("tag", *[F.col("last")[c].alias(c) for c in _LATEST_ORDER if c != "no_date"])
+
+
 # Days of applies and recaptures that have no date: before all others, after all others.
 _NO_APPLY_DAY, _NO_RECAP_DAY = "0001-01-01", "9999-12-31"
 
