@@ -24,7 +24,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import let, splittable
+from batchgate.llm.common import let, splittable, stage
 from batchgate.llm.licence_texts import TEMPLATES
 
 TERM = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
@@ -172,7 +172,8 @@ def scan(
     neither declare nor inherit; null ids have none of their own.  Rows of one id share its best notice.
     An empty table gives an empty one; other columns are ignored.
     """
-    own = own_licences(files, templates, id_col, text_col, least)
+    # Used for the files and for the directories they declare; staged, so that texts are read once.
+    own = stage(own_licences(files, templates, id_col, text_col, least), "licences")
     folder = F.regexp_replace("path", "/?[^/]*$", "")
     names = files.select(F.col(id_col).cast("long").alias("id"), F.col(path_col).alias("path"))
     file = splittable(names.withColumn("folder", folder), own, "id", "left")
