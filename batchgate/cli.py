@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from batchgate.operators.gate import OVERRIDE_SCHEMA, summary_by_rule
 from batchgate.plans import fish
-from batchgate.plans.admit import RECORDS, VIOLATIONS, JUDGED_SCHEMA, BatchConfig, admit_folder
+from batchgate.plans.admit import RECORDS, VIOLATIONS, JUDGED_SCHEMA, BatchConfig, admit_folder, kept_tags
 from batchgate.sources.accumulators import load_or_init
 from batchgate.sources.reference import reference_table
 from batchgate.sources.sheets import HEADER_ROWS
@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--tag-placeholders", nargs="*", default=[], metavar="TEXT", help="texts that stand for an unreadable tag")
     p.add_argument("--tags", help="stored state of the reference's tags, so that its records are not read for them")
     p.add_argument("--tag-buckets", type=int, default=256, help="buckets that state is stored in")
+    p.add_argument("--keep-tags", metavar="FOLDER", help="store the state of the reference's and the season's tags here")
     p.add_argument("--timestamp-formats", nargs="*", default=[], metavar="FORMAT", help="further formats of times in headers")
     p.add_argument("--retired-projects", nargs="*", type=int, default=list(fish.RETIRED_PROJECTS), metavar="ID")
     p.add_argument("--pit-pattern")
@@ -86,6 +87,8 @@ def main(argv: list[str] | None = None) -> int:
         refused = not result.admitted.filter("not admitted").isEmpty()
     # One line per rule, whatever the number of violations.
     summary_by_rule(found).orderBy("rule_order").show(len(fish.RULES), truncate=False)
+    if args.keep_tags:
+        kept_tags(spark, config, args.keep_tags, args.tag_buckets)
     season = load_or_init(spark, args.root, RECORDS, fish.RECORD_SCHEMA)
     print(f"records of the season: {season.count()}")
     return 1 if refused else 0

@@ -114,3 +114,21 @@ def test_batches_are_judged_by_a_stored_state(spark, tmp_path):
     merged = kept_tags(spark, kept, str(tmp_path / "merged"), 4)
     tags = {r.tag for r in merged.state.collect()}
     assert tags == {r.tag for r in store.state.collect()} | {"N1"}
+
+
+def test_a_state_from_the_command_line(spark, tmp_path, capsys):
+    from batchgate import cli
+
+    for name, table in reference(spark).items():
+        table.write.parquet(str(tmp_path / "reference" / name))
+    folder = tmp_path / "sheets"
+    folder.mkdir()
+    (folder / NAME).write_text(sheet([fish_row(1, pitRecapture="P2")]))
+    common = [str(folder), "--reference", str(tmp_path / "reference"), "--tag-buckets", "3"]
+    tags = str(tmp_path / "tags")
+    refused = [*common, "--root", str(tmp_path / "s1"), "--batch", "b1"]
+    assert cli.main([*refused, "--keep-tags", tags]) == 1
+    by_records = capsys.readouterr().out
+    assert "tag_wrong_species" in by_records
+    assert cli.main([*common, "--root", str(tmp_path / "s2"), "--batch", "b1", "--tags", tags]) == 1
+    assert capsys.readouterr().out == by_records
