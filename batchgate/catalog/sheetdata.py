@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,11 +181,14 @@ def sheet_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     rows = o.join(l, key == F.col("l_orderkey")).select(
         F.when(F.col("o_orderstatus") == "F", filled).otherwise(other).alias("entry_file"), line.alias("line")
     )
-    return _written(rows.withColumns({"no": F.lit(0), "head": F.lit(head)}), folder)
+    return _written(rows.withColumn("no", F.lit(0)), F.lit(head), folder)
 
 
-def _written(rows: DataFrame, folder: str) -> DataFrame:
-    """Write ``entry_file, no, head, line`` to files, each begun by its head; ``entry_file, lines`` of each."""
+def _written(rows: DataFrame, head: Column, folder: str) -> DataFrame:
+    """Write ``entry_file, no, line`` to files, each begun by its head; ``entry_file, lines`` of each.
+
+    The head is of columns of the rows.  It is made after they are sorted, and read once for each file.
+    """
 
     def write(batches):
         files, root = fs.FileSystem.from_uri(folder)
@@ -198,21 +202,23 @@ def _written(rows: DataFrame, folder: str) -> DataFrame:
                 done.append((name, n))
 
         for batch in batches:
-            for file, head, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            names, heads, lines = batch.columns
+            runs, begin = pc.run_end_encode(names), 0
+            for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
                 if file != name:
                     close()
                     name, n = file, 0
                     out = files.open_output_stream(f"{root}/.{name}.part")
-                    out.write(head.encode())
-                out.write(line.encode())
-                n += 1
+                    out.write(heads[begin].as_py().encode())
+                out.write("".join(lines[begin:end].to_pylist()).encode())
+                n, begin = n + end - begin, end
         close()
         yield pa.RecordBatch.from_pydict(
             {"entry_file": pa.array([d[0] for d in done], pa.string()), "lines": pa.array([d[1] for d in done], pa.int64())}
         )
 
     by_file = rows.repartition("entry_file").sortWithinPartitions("entry_file", "no")
-    return by_file.select("entry_file", "head", "line").mapInArrow(write, "entry_file string, lines long")
+    return by_file.select("entry_file", head.alias("head"), "line").mapInArrow(write, "entry_file string, lines long")
 
 
 SEASON_SQL = f"""
@@ -229,7 +235,12 @@ def season_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """
     o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     l = l.groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("length"), F.max("l_returnflag").alias("flag"))
-    block, day = F.expr(f"o_orderkey div {FILLED_ORDERS}").cast("string"), F.col("o_orderdate").cast("string")
+    o = o.select(
+        "o_orderkey",
+        F.expr(f"o_orderkey div {FILLED_ORDERS}").cast("string").alias("block"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 7).alias("day"),
+    )
+    block, day = F.col("block"), F.col("day")
     year, month = F.substring(day, 1, 4).cast("int"), F.substring(day, 6, 2)
     clock = F.concat(F.lit("2021-06-03 "), F.lpad((year - 1990).cast("string"), 2, "0"), F.lit(":"), month, F.lit(":00"))
     header = {
@@ -257,9 +268,10 @@ def season_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     taken = F.when(F.col("flag") == "R", "1").otherwise("")
     cells = [number, F.lit("LMB"), F.col("length").cast("string"), F.lit(",,,,"), taken]
     rows = o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.concat(F.lit("s"), block, F.lit("_"), F.substring(day, 1, 7), F.lit("-01_0000.csv")).alias("entry_file"),
+        F.concat(F.lit("s"), block, F.lit("_"), day, F.lit("-01_0000.csv")).alias("entry_file"),
         no.alias("no"),
-        F.concat(*head, F.lit(names)).alias("head"),
+        "block",
+        "day",
         F.concat(F.concat_ws(",", *cells), F.lit("\r\n")).alias("line"),
     )
-    return _written(rows, folder)
+    return _written(rows, F.concat(*head, F.lit(names)), folder)

@@ -40,3 +40,18 @@ def test_two_rules_parse_the_sheets_once(spark, orders):
     dear = sum(k * 1000 > 450000 and k % 5 != 0 for k in range(ORDERS))
     got = {r["name"]: r["count"] for r in found.groupBy("name").count().collect()}
     assert got == {"floyApply": partial, "trapNumber (forbidden)": dear}
+
+
+def test_heads_of_files_are_made_after_the_sort(spark, orders, tmp_path):
+    spark.range(ORDERS).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(2.0).alias("l_quantity"), F.lit("R").alias("l_returnflag")
+    ).write.parquet(f"{orders}/lineitem.parquet")
+    written = sheetdata.season_files(spark, orders, f"{tmp_path}/in")
+    plan = written._jdf.queryExecution().optimizedPlan().toString()
+    above, sort, below = plan.partition("Sort [")
+    assert sort and "useSampleMarkRecap" in above and "useSampleMarkRecap" not in below
+    months = {r["entry_file"]: r["lines"] for r in written.collect()}
+    assert len(months) == 33 and sum(months.values()) == ORDERS
+    text = (tmp_path / "in" / "s0_1996-05-01_0000.csv").read_bytes().decode()
+    assert text.startswith("projectID,37\r\n") and "dateTimeSet,2021-06-03 06:05:00\r\n" in text
+    assert text.count("projectID") == 1 and text.count(",LMB,") == months["s0_1996-05-01_0000.csv"]
