@@ -9,6 +9,7 @@ neighbours when lower-cased, strings of added tokens that count as such) are enc
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 from collections.abc import Callable
@@ -23,6 +24,23 @@ ID = np.dtype("<u4")
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Fixed value: that of the lower-casing tokenizer.
 PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# The same for texts of ASCII alone, where Python's own expressions do and are faster.
+ASCII_BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+ASCII_PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+"
+
+#: Latin letters, numbers and signs end before this character; all versions of Unicode agree on them, and none of
+#: them joins another.
+_AFTER_LATIN = "\u0250"
+
+
+def _letters() -> list[str]:
+    """The letter for each byte in the models' alphabet: a byte that can be seen is its own, others are from 256 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(0x100, 0x200))
+    return [chr(b if b in seen else next(other)) for b in range(256)]
+
+
+_LETTER = _letters()
 
 #: White space other than blank and newline, and characters that some count as such.
 _ODD = "".join(chr(i) for i in range(0x3001) if (chr(i).isspace() and chr(i) not in " \n") or i in (0x180E, 0x200B, 0x2060)) + "﻿"
@@ -62,6 +80,7 @@ class TokenEncoder:
         self.byte_level = self.tokenizer.normalizer is None
         self._model = self.tokenizer.model
         self._pattern = regex.compile(BYTE_WORDS if self.byte_level else PLAIN_WORDS)
+        self._ascii_pattern = re.compile(ASCII_BYTE_WORDS if self.byte_level else ASCII_PLAIN_WORDS)
         self._word = Memory(self._encode_word, words)
         self._chunk = Memory(self._encode_chunk, chunks)
 
@@ -80,10 +99,10 @@ class TokenEncoder:
             return self.whole(text)
         known = self._chunk
         if not self.byte_level:
-            return b"".join([known[c] for c in text.lower().replace("\n", " ").split(" ")])
+            return b"".join(map(known.__getitem__, text.lower().replace("\n", " ").split(" ")))
         # A chunk stands for itself after a blank, or after the newline that it begins with.
         first, *rest = text.replace("\n", " \n").split(" ")
-        return self._encode_words(first) + b"".join([known[c] for c in rest])
+        return self._encode_words(first) + b"".join(map(known.__getitem__, rest))
 
     def _separable(self, text: str) -> bool:
         if text.isascii():
@@ -100,13 +119,20 @@ class TokenEncoder:
         )
 
     def _encode_chunk(self, chunk: str) -> bytes:
-        if self.byte_level and chunk[0] != "\n":
+        after_blank = self.byte_level and chunk[0] != "\n"
+        # Letters alone are one word.
+        if chunk.isascii() and chunk.isalpha():
+            return self._ids("Ġ" + chunk if after_blank else chunk)
+        if after_blank:
             chunk = " " + chunk
-        words = self._pattern.findall(chunk)
+        words = self._words(chunk)
         return self._encode_word(words[0]) if len(words) == 1 else self._joined(words)
 
     def _encode_words(self, text: str) -> bytes:
-        return self._joined(self._pattern.findall(text))
+        return self._joined(self._words(text))
+
+    def _words(self, text: str) -> list[str]:
+        return (self._ascii_pattern if text.isascii() else self._pattern).findall(text)
 
     def _joined(self, words: list[str]) -> bytes:
         """The ids of words; those that are chunks by themselves are remembered as such, and only once."""
@@ -115,12 +141,19 @@ class TokenEncoder:
         return b"".join([self._chunk[w[1:]] if len(w) > 1 and w[0] == " " else self._word[w] for w in words])
 
     def _encode_word(self, word: str) -> bytes:
-        bare = word[1:] if self.byte_level and word[0] == " " else word
-        if not (bare.isascii() and bare.isalpha()):
+        """The ids of one match of the pattern, which the library would not split any more."""
+        if word.isascii() and word.isprintable():
+            letters = "Ġ" + word[1:] if word[0] == " " else word
+        elif max(word) < _AFTER_LATIN:
+            letters = "".join([_LETTER[b] for b in word.encode()])
+        else:
             return self.whole(word)
-        # ASCII letters stand for themselves in the model's alphabet, and this letter for a blank.
-        tokens = self._model.tokenize(bare if bare is word else "Ġ" + bare)
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        return self._ids(letters)
+
+    def _ids(self, letters: str) -> bytes:
+        """The ids of a word in the model's alphabet."""
+        ids = [t.id for t in self._model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _ENCODERS: dict[tuple[str, int, bool], TokenEncoder] = {}

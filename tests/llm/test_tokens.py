@@ -40,6 +40,20 @@ def test_remembered_words_give_the_ids_of_the_library(path):
     check()
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_latin_words_go_to_the_model_alone(path, monkeypatch):
+    """Accents, digits and punctuation cost no more than letters do; the ids are the library's."""
+    texts = ["Über élan, 1984!", "naïve\nœuvre ñ'll ¿qué? «½ µ×÷»", "don't \"stop\" ÀÉÎ łódź", "a\x7fb \x01 \xadx"]
+    texts += [f"a{chr(i)}b {chr(i)}1 {chr(i)}" for i in range(0x21, 0x250) if not chr(i).isspace() and max(chr(i).lower()) < "ɐ"]
+    encoder, asked = TokenEncoder(path), []
+    whole = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda text: asked.append(text) or whole(text))
+    assert [np.frombuffer(encoder.encode(t), ID).tolist() for t in texts] == library(path, texts)
+    assert asked == []
+    encoder.encode("words 漢字")
+    assert [t.strip() for t in asked] == ["漢字"]
+
+
 def test_packing_places_every_id_once_and_pads_nothing(llm, odd):
     docs = frame(llm, odd)
     got = packing.pack(docs.coalesce(1), BYTE, size=64, block_tokens=500).collect()
