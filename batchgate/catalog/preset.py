@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from batchgate.catalog import query
 from batchgate.catalog.outliers import t_sql
+from batchgate.catalog.sheetdata import fresh_folder
 from batchgate.catalog.tables import ORDER_CUTOFF, month, table
 from batchgate.functions.dates import day_of_year
 from batchgate.functions.keys import build_key, date_text
 from batchgate.operators.membership import check_duplicate_keys
 from batchgate.operators.violations import union_violations
 from batchgate.plans import fish
+from batchgate.session import stage
 
 SEASON_START = "2000-07-01"
 
@@ -106,12 +108,16 @@ def line_records(spark, sf_dir):
 def record_rules(spark, sf_dir):
     """All rules that judge records against history."""
     batch, snapshot, season = _split_three(line_records(spark, sf_dir), "l_shipdate")
+    folder = fresh_folder(spark)
+    # As in an admission: many rules read the batch, two the statistics.
+    batch = stage(batch, f"{folder}/batch")
+    statistics = stage(fish.history_statistics(snapshot), f"{folder}/statistics")
     found = union_violations(
         spark,
         [
             fish.membership_rules(batch, snapshot, season),
             check_duplicate_keys(batch, "fishID", fish.RULES["dup_fishID"]),
-            *fish.outlier_rules(batch, fish.history_statistics(snapshot)),
+            *fish.outlier_rules(batch, statistics),
             *fish.linkage_rules(batch, snapshot, season, fish.Options()),
         ],
     )

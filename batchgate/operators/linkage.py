@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ def tags_long(
     """One row per present tag: the kept columns, the tag type and the tag.
 
     ``tags`` maps the type label to its column.  Missing tags go here, before any shuffle, so they
-    never become one huge key.
+    never become one huge key; rows without any go before the kept columns are computed.
     """
-    wide = df.select(
+    tagged = df.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in tags.values()]))
+    wide = tagged.select(
         *[c.alias(n) for n, c in keep.items()],
         *[F.col(c).cast("string").alias(label) for label, c in tags.items()],
     )

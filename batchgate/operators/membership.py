@@ -86,22 +86,21 @@ def long_keys(
         structs.append(s)
     if len(structs) == 1:
         return df.select(structs[0].alias("x")).filter("x is not null").select("x.*")
-    rows = F.array(*structs)
-    if needed:
-        rows = F.filter(rows, lambda s: s.isNotNull())
-    return df.select(F.explode(rows).alias("x")).select("x.*")
+    # Keys left out go after the explode: a function of an array's items is not compiled, nor are the keys inside it.
+    rows = df.select(F.explode(F.array(*structs)).alias("x"))
+    return (rows.filter("x is not null") if needed else rows).select("x.*")
 
 
 def seen_keys(batch_keys: DataFrame, history_keys: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct history keys that the batch asks for.
 
     The key is one struct, null-safe as such, so that the shuffle that makes history distinct also
-    serves the join.
+    serves the join.  Where that sorts, it sorts by the hash before it: a number needs no text compared.
     """
-    key = F.struct(*columns).alias("key")
-    asked = batch_keys.select(key).distinct()
-    known = history_keys.select(key).distinct()
-    return known.join(asked, "key", "left_semi").select("key.*")
+    key = [F.xxhash64(*columns).alias("hash"), F.struct(*columns).alias("key")]
+    asked = batch_keys.select(*key).distinct()
+    known = history_keys.select(*key).distinct()
+    return known.join(asked, ["hash", "key"], "left_semi").select("key.*")
 
 
 def check_keys(

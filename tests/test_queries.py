@@ -86,3 +86,13 @@ def test_history_is_filtered_where_it_is_scanned(spark):
 def test_history_is_read_once_for_rules_of_both_kinds(spark):
     plan = QUERIES["q_key_rules"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"l_shipdate\S* < ", plan)) == 1
+
+
+def test_record_rules_compile_their_keys_and_read_the_batch_from_a_table(spark):
+    """Line items are scanned for the snapshot and the season alone; no key is made inside a function of arrays."""
+    plan = QUERIES["q_record_rules"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.split("\n") if "Generate explode(array(struct(rule_no" in line]
+    assert keys
+    assert "explode(filter(array(struct(rule_no" not in plan
+    # Keys and tags, of snapshot and season each.
+    assert plan.count("lineitem.parquet") == 4

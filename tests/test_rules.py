@@ -289,3 +289,18 @@ def test_a_hot_key_is_split(spark, small_skew_limits, rule):
         out, expected = parse.sheet_rows(lines, parse.parse_sheets(top), ["fishNum", "otu"]), n
     assert len(out.collect()) == expected
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_left_out_and_tags_that_are_missing_give_no_rows(spark):
+    """Rows without any tag go before the kept columns are computed."""
+    rows = [("a", "1", None), ("b", None, None), (None, None, "2"), ("c", "3", "4"), ("c", "3", "4")]
+    df = spark.createDataFrame(rows, "id string, pit string, floy string")
+    keys = membership.long_keys(df, {0: ("id",), 1: ("pit", "floy")}, 2, needed={1: ("pit", "floy")})
+    got = sorted(map(tuple, keys.collect()), key=str)
+    assert got == sorted([(0, i, None) for i, _, _ in rows] + [(1, "3", "4")] * 2, key=str)
+    tags = linkage.tags_long(df, {"id": F.upper("id")}, {"p": "pit", "f": "floy"}, "kind", "tag")
+    assert sorted(map(tuple, tags.collect()), key=str) == sorted(
+        [("A", "p", "1"), (None, "f", "2"), *[("C", "p", "3"), ("C", "f", "4")] * 2], key=str
+    )
+    plan = tags._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("isnotnull(pit")
