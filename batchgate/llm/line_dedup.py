@@ -19,7 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchgate.llm.common import bounded, splittable, stage
@@ -179,10 +179,21 @@ def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, WINDOWS)
 
 
+def _place(window: DataFrame) -> Column:
+    """Orders windows by document and position, as one number unless ids lie too far apart for that.
+
+    The least number of a group is found by hashing, the least struct only by sorting all rows.
+    """
+    low, high = window.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if low is None or high - low >= 1 << 32:
+        return F.struct("doc_id", "pos")
+    return F.shiftleft(F.col("doc_id") - F.lit(low).cast("long"), 31) + F.col("pos")
+
+
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ranges``: first and last part, from 0, of each stretch that later occurrences cover."""
     window = stage(_windows(docs, id_col, text_col), "windows")
-    place = F.struct("doc_id", "pos")
+    place = _place(window)
     first = window.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     later = splittable(window, first.where("n > 1").drop("n"), "key", "inner")
     later = later.where(place > F.col("first")).select("doc_id", "pos").distinct()

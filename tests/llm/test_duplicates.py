@@ -122,6 +122,22 @@ def test_lines_of_an_empty_table(llm):
     assert line_dedup.drop_repeated_lines(frame(llm, [])).count() == 0
 
 
+@pytest.mark.parametrize("ids", [(1, 2, 3), (-5, 0, 2**32 - 6), (-5, 0, 2**32 - 5), (-(2**63), 7, 2**63 - 1)])
+def test_first_windows_are_found_without_a_sort_unless_ids_lie_far_apart(llm, ids):
+    a, b, c = ids
+    text = "\n".join("abcdefg")
+    rows = [(c, "x\n" + text), (b, text + "\nz\n" + text), (a, "c\nd\ne\nf"), (b, text + "\nz\n" + text), (None, text)]
+    check_lines(llm, rows)
+    plan = line_dedup.repeated_ranges(frame(llm, rows))._jdf.queryExecution().executedPlan().toString()
+    assert ("SortAggregate" in plan) == (c - a >= 2**32)
+
+
+def test_first_windows_of_rows_with_one_id_and_other_texts(llm):
+    """The first place counts over all rows of an id, whichever row holds it."""
+    got = line_dedup.repeated_ranges(frame(llm, [(4, "q\nr\na\nb\nc"), (4, "a\nb\nc"), (9, "a\nb\nc")])).collect()
+    assert {(r.doc_id, *(tuple(x) for x in r.ranges)) for r in got} == {(4, (2, 4)), (9, (0, 2))}
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_gives_the_same(llm, name):
     got = queries.QUERIES[name](llm, "/root/testdata/sf0.001").toArrow()
