@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from batchgate.functions.keys import number_text
 from batchgate.operators.joins import RULE_NO, splittable_on
 from batchgate.operators.violations import VIOLATION_COLUMNS, Rule, as_violations, rule_columns
+from batchgate.session import stage
 
 
 @dataclass(frozen=True)
@@ -274,6 +275,29 @@ def duplicated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def doubtful_hashes(batch: DataFrame, history: Sequence[DataFrame], column: str, scratch: str) -> DataFrame:
+    """``hash`` of each key that may occur more than once in the batch, or in history too.
+
+    Where almost no key does, this finds the few that are worth comparing as text: only numbers are
+    shuffled, and :func:`doubtful_rows` then drops the other rows in the scan.  Two tables are staged: the
+    batch's hashes, whose size no estimate from the batch's other columns would tell, and the result.
+    """
+    counted = batch.select(_key_hash(batch, column)).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    asked = stage(counted, f"{scratch}/hashes")
+    known = reduce(DataFrame.unionByName, [h.select(_key_hash(h, column)) for h in history]).distinct()
+    seen = known.join(asked.select("hash"), "hash", "left_semi")
+    return stage(asked.filter("n > 1").select("hash").unionByName(seen).distinct(), f"{scratch}/doubtful")
+
+
+def doubtful_rows(df: DataFrame, column: str, hashes: DataFrame) -> DataFrame:
+    """Rows whose key has one of the hashes."""
+    return df.join(hashes, _key_hash(df, column) == hashes["hash"], "left_semi")
+
+
+def _key_hash(df: DataFrame, column: str) -> Column:
+    return F.xxhash64(key_text(df, column)).alias("hash")
+
+
 def check_duplicate_keys(
     batch: DataFrame, columns: str | Sequence[str], rule: Rule | None = None, entry_file: str = "entry_file"
 ) -> DataFrame:

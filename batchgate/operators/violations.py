@@ -127,4 +127,7 @@ def union_violations(spark: SparkSession, parts: Iterable[DataFrame]) -> DataFra
     parts = [p.select(*VIOLATION_COLUMNS) for p in parts]
     if not parts:
         return spark.createDataFrame([], VIOLATION_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
+    # In pairs: a union is analysed with all that is below it, which part by part would be every part again and again.
+    while len(parts) > 1:
+        parts = [reduce(DataFrame.unionByName, parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0]

@@ -58,10 +58,12 @@ def _marked(lines: DataFrame) -> DataFrame:
     )
 
 
-def whole_records(lines: DataFrame, scratch: str, chunk_lines: int) -> DataFrame:
-    """``entry_file, line_no, line``: records numbered from 1 in each file, blank ones left out.
+def whole_records(lines: DataFrame, scratch: str, chunk_lines: int) -> tuple[DataFrame, DataFrame]:
+    """``entry_file, line_no, line``: numbered records, blank ones left out; and ``entry_file, gone``.
 
-    ``lines`` has all lines of some files, blank ones too, numbered from 1.
+    ``lines`` has consecutive lines of some files, blank ones too, with their numbers in the file: those
+    before them are records, and none after them has a quote that the others need.  ``gone`` is the
+    number of lines that are blank or part of another's record, by which later lines move up.
     """
     lines = lines.withColumn("chunk", F.floor(F.col("line_no") / chunk_lines))
     marked = stage(_marked(lines), f"{scratch}/marked")
@@ -88,4 +90,5 @@ def whole_records(lines: DataFrame, scratch: str, chunk_lines: int) -> DataFrame
     whole = records.join(texts, on, "left").select(
         "entry_file", F.col("record_no").alias("line_no"), F.coalesce("text", "line").alias("line")
     )
-    return stage(whole, f"{scratch}/whole")
+    gone_lines = told.groupBy("entry_file").agg(F.count(gone_no).alias("gone"))
+    return stage(whole, f"{scratch}/whole"), stage(gone_lines, f"{scratch}/gone")

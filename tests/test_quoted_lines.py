@@ -130,6 +130,38 @@ def test_clean_files_are_not_put_together(spark, tmp_path, tiny_splits):
     assert _got(read.lines) == _expected({NAME: clean})
 
 
+def test_lines_after_the_last_break_are_not_put_together(spark, tmp_path, tiny_splits):
+    """A comment in the header moves the lines below it up; they need neither a sort nor another table."""
+    rows = [fish_row(i) for i in range(300)]
+    sheets = {
+        NAME: sheet(rows, {"comments": "first line\n\nthird"}) + "\r\n" * 40,
+        "b_2021-06-03_1127.csv": sheet(rows, {"comments": "one\ntwo"}).replace("\r\n7,", "\r\n\r\n\r\n7,", 1),
+        "c_2021-06-03_1128.csv": sheet(rows) + '300,LMB,"12',
+        "d_2021-06-03_1129.csv": sheet(rows),
+    }
+    read = _read(spark, tmp_path, sheets)
+    marked = spark.read.parquet(str(tmp_path / "scratch/marked")).groupBy("entry_file").count().collect()
+    counts = {r["entry_file"]: r["count"] for r in marked}
+    assert counts[NAME] == 3 and counts["b_2021-06-03_1127.csv"] < 60
+    assert counts["c_2021-06-03_1128.csv"] == 1 and "d_2021-06-03_1129.csv" not in counts
+    assert _got(read.lines) == _expected(sheets)
+    headers = parse.type_header(parse.parse_sheets(read.lines))
+    found = parse.sheet_rows(read.lines, headers, ["fishNum"], chunks=read.chunks).groupBy("entry_file").agg(F.sum("fishNum"))
+    last = {"c_2021-06-03_1128.csv": 300.0}
+    assert {tuple(r) for r in found.collect()} == {(f, 299 * 150.0 + last.get(f, 0)) for f in sheets}
+
+
+def test_other_files_are_named_by_the_same_scan(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / NAME).write_text(sheet([fish_row(1)]))
+    (tmp_path / "in" / "notes.txt").write_text("x\ny\n")
+    scan = src.located(spark.read.text(str(tmp_path / "in")))
+    scan = scan.withColumn("value", F.when(src.is_sheet(F.col("entry_file")), F.col("value")))
+    read = src.number_lines(scan, str(tmp_path / "scratch"))
+    assert [r[0] for r in read.others.collect()] == ["notes.txt"]
+    assert {r[0] for r in read.lines.select("entry_file").distinct().collect()} == {NAME}
+
+
 def test_a_large_sheet_in_several_tasks(spark, tmp_path):
     """40 MB, of which every fifth line holds a cell of two lines."""
     size = 1_000_000
